@@ -28,10 +28,13 @@ def connected_components(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     ).where("u <> v")
     down = cut_lineage(down.distinct(), "edges")
+    done, degree = _shape(down)
     for _ in range(max_rounds):
-        down = cut_lineage(_small_star(_large_star(down, hot_rows), hot_rows), "edges")
-        if _is_star(down):
+        if done:
             break
+        larger = _large_star(down, hot_rows, degree)
+        down = cut_lineage(_small_star(larger, hot_rows, degree), "edges")
+        done, degree = _shape(down)
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     children = down.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -39,20 +42,27 @@ def connected_components(
     return children.unionByName(centres)
 
 
-def _large_star(down: DataFrame, hot_rows: int) -> DataFrame:
+def _hand_over(edges: DataFrame, smallest: DataFrame, hot_rows: int, degree: int) -> DataFrame:
+    """Join edges with the smallest neighbour of their ``u``, by broadcast for nodes with many."""
+    if degree < hot_rows:
+        return edges.join(smallest, "u")
+    return lookup_join(edges, smallest, ["u"], weight="n", min_rows=hot_rows)
+
+
+def _large_star(down: DataFrame, hot_rows: int, degree: int) -> DataFrame:
     both = down.unionByName(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = both.groupBy("u").agg(
         F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n")
     )
     # Only larger neighbours move, so only the reversed edges (from v up to u) are needed here.
     up = down.select(F.col("v").alias("u"), F.col("u").alias("larger"))
-    moved = lookup_join(up, smallest, ["u"], weight="n", min_rows=hot_rows)
+    moved = _hand_over(up, smallest, hot_rows, degree)
     return moved.select(F.col("larger").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(down: DataFrame, hot_rows: int) -> DataFrame:
+def _small_star(down: DataFrame, hot_rows: int, degree: int) -> DataFrame:
     smallest = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    moved = lookup_join(down, smallest, ["u"], weight="n", min_rows=hot_rows)
+    moved = _hand_over(down, smallest, hot_rows, degree)
     kept = smallest.select("u", F.col("m").alias("v"))
     return (
         moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -61,14 +71,15 @@ def _small_star(down: DataFrame, hot_rows: int) -> DataFrame:
     )
 
 
-def _is_star(down: DataFrame) -> bool:
-    """True if every node has one smaller neighbour or none, and no centre has one."""
+def _shape(down: DataFrame) -> tuple[bool, int]:
+    """Is every component a star around its smallest node, and what is the highest degree?
+
+    In such stars every node has one smaller neighbour or none, and no centre has one.
+    """
     ends = down.select("u", F.lit(1).alias("below")).unionByName(
         down.select(F.col("v").alias("u"), F.lit(0).alias("below"))
     )
-    loose = (
-        ends.groupBy("u")
-        .agg(F.sum("below").alias("below"), F.count("*").alias("n"))
-        .where("below > 1 or (below = 1 and n > 1)")
-    )
-    return loose.isEmpty()
+    per_node = ends.groupBy("u").agg(F.sum("below").alias("below"), F.count("*").alias("n"))
+    loose = (F.col("below") > 1) | ((F.col("below") == 1) & (F.col("n") > 1))
+    row = per_node.agg(F.count_if(loose).alias("loose"), F.max("n").alias("degree")).first()
+    return row.loose == 0, row.degree or 0

@@ -49,14 +49,9 @@ def _by_block_size(rows: DataFrame, n_small: int, size: str) -> tuple[DataFrame,
     The largest blocks are picked out by broadcasting their keys, at most ``MAX_HOT``, so they are
     never shuffled by block. Blocks with a single customer cannot match and are left out.
     """
-    # Taking the smallest id along, though unused, makes this aggregate read the same columns as
-    # the other uses of ``rows``, so that Spark shuffles ``rows`` once and reuses it.
     sizes = (
         rows.groupBy(*_BLOCK)
-        .agg(
-            F.count("*").alias("n_names"),
-            F.sum("n_ids").alias("n_customers"),
-        )
+        .agg(F.count("*").alias("n_names"), F.sum("n_ids").alias("n_customers"))
         .where("n_customers > 1")
     )
     hot = (
@@ -65,12 +60,22 @@ def _by_block_size(rows: DataFrame, n_small: int, size: str) -> tuple[DataFrame,
         .limit(MAX_HOT)
         .select(*_BLOCK)
     )
-    rest = rows.join(F.broadcast(hot), _BLOCK, "left_anti").join(sizes, _BLOCK)
     columns = rows.columns
+    rest = _spread(rows.join(F.broadcast(hot), _BLOCK, "left_anti"), *_BLOCK).join(sizes, _BLOCK)
     small = rest.where(F.col(size) <= n_small).select(*columns)
     large = rows.join(F.broadcast(hot), _BLOCK).select(*columns)
     large = large.unionByName(rest.where(F.col(size) > n_small).select(*columns))
-    return small, large
+    return small, _spread(large, *_BLOCK, "name")
+
+
+def _spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Partition by ``by`` into the full number of shuffle partitions.
+
+    Comparing names costs far more than moving them, so adaptive execution, which goes by bytes,
+    would leave this work to too few tasks.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, *by)
 
 
 def _members(small: DataFrame, id_column: str) -> DataFrame:
@@ -107,7 +112,8 @@ def _signature_groups(large: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .where("n > 1")
     )
-    return signed, groups
+    # Spark's estimates do not see how much an explode adds, and would broadcast this side.
+    return signed, groups.hint("merge")
 
 
 def _allowed(of: str = "cut"):
@@ -155,10 +161,11 @@ def match_pairs(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
     a = named.withColumnsRenamed({"name": "name_a", "cut": "cut_a"})
     b = named.withColumnsRenamed({"name": "name_b", "cut": "cut_b"}).drop("sub")
     near_names = (
-        a.join(b, [*_BLOCK, "sig"])
+        a.join(b.hint("merge"), [*_BLOCK, "sig"])
         .where((F.col("sub") + F.col("cut_a") + F.col("cut_b") <= 2))
         .select(*_BLOCK, "name_a", "name_b")
         .distinct()
+        .hint("merge")
     )
     ids = large.select(*_BLOCK, "name", "customer_id")
     across = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,8 +105,7 @@ def two_stage_agg(
 
     Sums and counts need no salt, as Spark adds them up before the shuffle; counting the distinct
     values of a hot key does. The salt is taken from the counted values, so each value is counted
-    under one salt only and the partial counts add up. With several ``distinct`` columns, each has
-    its own first stage.
+    under one salt only and the partial counts add up.
     """
     keys = list(keys)
     sums, counts, distinct = dict(sums or {}), dict(counts or {}), dict(distinct or {})
@@ -113,20 +113,13 @@ def two_stage_agg(
     plain += [F.count(e).alias(a) for a, e in counts.items()]
     parts = [df.groupBy(*keys).agg(*plain)] if plain else []
     for alias, value in distinct.items():
-        first = (
-            df.withColumn("_value", value)
-            .withColumn("_salt", salt_of(n_salts, "_value"))
-            .groupBy(*keys, "_salt")
-            .agg(F.count_distinct("_value").alias("_n"))
-        )
-        parts.append(first.groupBy(*keys).agg(F.sum("_n").alias(alias)))
+        salted = df.select(*keys, value.alias("_value")).withColumn("_salt", salt_of(n_salts, "_value"))
+        per_salt = salted.groupBy(*keys, "_salt").agg(F.count_distinct("_value").alias(alias))
+        parts.append(per_salt.drop("_salt"))
     if not parts:
         raise ValueError("nothing to aggregate")
-    out = parts[0]
-    for part in parts[1:]:
-        same_key = [out[k].eqNullSafe(part[k]) for k in keys]
-        out = out.join(part, same_key, "inner").drop(*[part[k] for k in keys])
-    return out
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.groupBy(*keys).agg(*[F.sum(a).alias(a) for a in (*sums, *counts, *distinct)])
 
 
 def _all_present(keys: Sequence[str]) -> Column:

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from kinfold.functions import edit_distance, ensure_columns
 from kinfold.operators import consolidate, incremental, match, merge, quality, segment, skew
 from kinfold.operators.latest import latest_per_key
-from kinfold.plans import roles
-from kinfold.schemas import EPOCH, METRIC_COLUMNS, PROFILE_COLUMNS
+from kinfold.plans import jobs, roles
+from kinfold.schemas import EPOCH, METRIC_COLUMNS, PROFILE_COLUMNS, struct_of
 from kinfold.sources.files import (
     parse_cdc, read_master, split_malformed, to_cdc, write_master,
 )
 from kinfold.sources.scratch import scratch_path
+from kinfold.sources.tables import read_table, replace_in_table, upsert_table, write_table
 from kinfold.streaming import dedup_stream, ingest, read_lines, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,17 +155,11 @@ def cdc_object_payload(spark, sf_dir):
     e = roles.events(spark, sf_dir)
     inner = F.from_json("props", "k bigint")
     raw = e.select(F.to_json(F.struct("event_id", "op_type", inner.alias("payload"))).alias("value"))
-    return parse_cdc(raw, _struct("k bigint")).select(
+    return parse_cdc(raw, struct_of("k bigint")).select(
         "event_id", (F.col("op_type") == "DELETE").alias("is_delete"), "k"
     )
 
 
-def _struct(ddl: str):
-    from pyspark.sql import types as T
-
-    return T.StructType.fromDDL(ddl)
-
-
 def _with_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events, where the lines of errors have lost the end of their JSON."""
     e = roles.events(spark, sf_dir)
@@ -217,7 +212,9 @@ def stream_dedup_global(spark, sf_dir):
     """Every event delivered twice, by two streams; staging has each once."""
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
     out = scratch_path(spark, "staging")
-    ingest(twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days").awaitTermination()
+    ingest(
+        twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days", date_unit="month"
+    ).awaitTermination()
     return _ntz(staged(spark, out).drop("event_date"))
 
 
@@ -227,7 +224,8 @@ def stream_dedup_within_watermark(spark, sf_dir):
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
     out = scratch_path(spark, "staging")
     ingest(
-        twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days", "within_watermark"
+        twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days", "within_watermark",
+        date_unit="month",
     ).awaitTermination()
     return _ntz(staged(spark, out).drop("event_date"))
 
@@ -253,7 +251,7 @@ def stream_late_rows(spark, sf_dir):
     out = scratch_path(spark, "staging")
     ingest(
         read_lines(spark, lines, files_per_trigger=1), roles.EVENT, out,
-        scratch_path(spark, "offsets"), "10 days",
+        scratch_path(spark, "offsets"), "10 days", date_unit="month",
     ).awaitTermination()
     return _ntz(staged(spark, out).drop("event_date"))
 
@@ -716,6 +714,119 @@ def append_new_columns(spark, sf_dir):
     return merge.append(a, l)
 
 
+@query(_with(_LOANS, select="select * from loans"))
+def stored_upsert(spark, sf_dir):
+    """``upsert`` through a stored table: two snapshots, the second of changed buckets only."""
+    versions = roles.loan_versions(spark, sf_dir)
+    ties = ["l_partkey", "l_suppkey"]
+    day = F.lit(_SINCE).cast("timestamp_ntz")
+    path = scratch_path(spark, "loans")
+    base = latest_per_key(versions.where(F.col("event_time") <= day), "loan_id", "event_time", ties)
+    write_table(base, path, "loan_id", buckets=8)
+    later = incremental.changed_since(versions, "event_time", _SINCE)
+    upsert_table(latest_per_key(later, "loan_id", "event_time", ties), path, "loan_id", buckets=8)
+    return read_table(spark, path).drop(*ties)
+
+
+@query(
+    _with(
+        _ACCOUNTS,
+        f"touched as (select distinct customer_id from accounts where not ({_BEFORE}) and account_type = '1-URGENT')",
+        select=f"""select *, false as refreshed from accounts
+where {_BEFORE} and customer_id not in (select customer_id from touched)
+union all select *, true from accounts
+where customer_id in (select customer_id from touched) and status <> 'BLOCKED'""",
+    )
+)
+def stored_replace(spark, sf_dir):
+    """``replace_by_keys`` through a stored table, with a column the first snapshot lacked."""
+    base, now = _before_and_after(spark, sf_dir)
+    path = scratch_path(spark, "accounts")
+    write_table(base, path, "customer_id", buckets=8)
+    new = incremental.changed_since(now, "event_time", _SINCE).where("account_type = '1-URGENT'")
+    touched = incremental.affected_keys([new], "customer_id")
+    fresh = merge.restrict_to(now.where("status <> 'BLOCKED'"), touched, "customer_id")
+    replace_in_table(
+        fresh.withColumn("refreshed", F.lit(True)), touched, path, "customer_id", buckets=8
+    )
+    return read_table(spark, path).withColumn("refreshed", F.coalesce("refreshed", F.lit(False)))
+
+
+def _waves(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFrame]]:
+    """The roles as change events in two waves.
+
+    Customers of one market segment first come with another email and name; accounts and loan
+    versions come by date.
+    """
+    c = roles.customers(spark, sf_dir)
+    early = c.withColumns(
+        {
+            "email": F.when(F.col("email").endswith("BUILDING"), F.lit("shared")).otherwise(F.col("email")),
+            "last_name": F.when(F.col("email").endswith("BUILDING"), F.reverse("last_name"))
+            .otherwise(F.col("last_name")),
+        }
+    )
+    a, l = roles.accounts(spark, sf_dir), roles.loan_versions(spark, sf_dir)
+    part, supplier = (F.lpad(F.col(c).cast("string"), 12, "0") for c in ("l_partkey", "l_suppkey"))
+    version = F.concat_ws("-", part, supplier, "loan_id", F.to_date("event_time"))
+    l = l.withColumn("event_id", version)
+
+    def events(rows, kind, ident, time, wave):
+        payload = [c for c in rows.columns if c in [f.name for f in jobs.ENTITIES[kind][1]]]
+        return to_cdc(rows, payload, F.concat(F.lit(wave), ident), time, F.lit("INSERT"))
+
+    day = F.lit(_SINCE).cast("timestamp_ntz")
+    out = {"customers": [], "accounts": [], "loans": []}
+    for wave, customers, when, start in (
+        ("1-", early, F.col("event_time") <= day, "1990-01-01 00:00:00"),
+        ("2-", c.where(F.col("email").endswith("BUILDING")), F.col("event_time") > day, "2000-01-02 00:00:00"),
+    ):
+        out["customers"].append(
+            events(customers, "customers", F.col("customer_id"), F.lit(start), wave)
+        )
+        out["accounts"].append(events(a.where(when), "accounts", F.col("account_id"), "event_time", ""))
+        out["loans"].append(events(l.where(when), "loans", F.col("event_id"), "event_time", ""))
+    return out
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, closure: str = "one_hop") -> jobs.Settings:
+    """Ingest both waves and run all jobs after each."""
+    s = jobs.Settings(
+        scratch_path(spark, "bank"), lateness="36500 days", date_unit="year", buckets=8,
+        closure=closure, thresholds=tuple(roles.THRESHOLDS),
+    )
+    waves = _waves(spark, sf_dir)
+    for wave in (0, 1):
+        for entity, parts in waves.items():
+            lines = f"{s.base}/lines/{entity}"
+            parts[wave].write.mode("append").text(lines)
+            jobs.ingest(read_lines(spark, lines), entity, s).awaitTermination()
+        jobs.run_all(spark, s)
+    return s
+
+
+@query(_with(*_UP_TO_PROFILE, select=f"select {_PROFILE_OUT} from profile"))
+def incremental_profiles(spark, sf_dir):
+    """Profiles after two runs of all jobs, from change events to tables."""
+    s = _refreshed(spark, sf_dir)
+    return jobs.profile_table(spark, s).drop("updated_at")
+
+
+@query(
+    _with(
+        _CUSTOMERS, _PAIRS, _TRANSITIVE,
+        "golden as (select customer_id, min(other) as golden_customer_id from reach group by 1)",
+        _ACCOUNTS, _LOANS, _METRICS.format(key="customer_id"), _PROFILE, _SEGMENTS,
+        select="select s.*, golden_customer_id from segments s join golden using (customer_id)",
+    ).replace("with ", "with recursive ", 1)
+)
+def incremental_segments_transitive(spark, sf_dir):
+    """Segments and transitive golden ids after two runs of all jobs."""
+    s = _refreshed(spark, sf_dir, "transitive")
+    golden = jobs.profile_table(spark, s).select("customer_id", "golden_customer_id")
+    return jobs.segment_table(spark, s).join(golden, "customer_id")
+
+
 # --- skew ----------------------------------------------------------------------------------
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinfold.operators.latest import latest_per_key
+from kinfold.schemas import struct_of
 
 # Bounds that suit the amounts of the given tables.
 THRESHOLDS = [
@@ -18,7 +18,7 @@ ACCOUNT_STATES = {"O": "ACTIVE", "F": "INACTIVE", "P": "BLOCKED"}
 LOAN_STATES = {"A": "ACTIVE", "R": "DELINQUENT", "N": "CLOSED"}
 OPERATIONS = {"signup": "INSERT", "error": "DELETE"}
 
-EVENT = T.StructType.fromDDL("user_id bigint, value double, props string")
+EVENT = struct_of("user_id bigint, value double, props string")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

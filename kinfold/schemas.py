@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType()}
+
+
+def struct_of(fields: str) -> T.StructType:
+    """A schema from ``"name type, name type"``; needs no running session."""
+    pairs = [f.split() for f in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Field names and types of the JSON change events, and the columns of the tables.
-ENVELOPE = _struct("event_id string, event_time string, op_type string, payload string")
-CUSTOMER = _struct(
+ENVELOPE = struct_of("event_id string, event_time string, op_type string, payload string")
+CUSTOMER = struct_of(
     "customer_id string, first_name string, last_name string, email string, phone string, "
     "address string, city string, state string, country string, updated_at string"
 )
-ACCOUNT = _struct(
+ACCOUNT = struct_of(
     "account_id string, customer_id string, account_type string, balance double, "
     "status string, updated_at string"
 )
-LOAN = _struct(
+LOAN = struct_of(
     "loan_id string, customer_id string, loan_type string, loan_amount double, "
     "loan_status string, emi_amount double, updated_at string"
 )

@@ -1,8 +1,9 @@
 from kinfold.streaming.ingest import (
-    append_stream, dedup_stream, ingest, quarantine_stream, read_kafka, read_lines, staged,
+    LATENESS, append_stream, dedup_stream, ingest, quarantine_stream, read_kafka, read_lines,
+    staged,
 )
 
 __all__ = [
-    "append_stream", "dedup_stream", "ingest", "quarantine_stream", "read_kafka", "read_lines",
-    "staged",
+    "LATENESS", "append_stream", "dedup_stream", "ingest", "quarantine_stream", "read_kafka",
+    "read_lines", "staged",
 ]
