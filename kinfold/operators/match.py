@@ -157,12 +157,15 @@ def match_pairs(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
     )
 
     # In a large block the signatures give the near names, and these the customers under them.
+    # The number of cuts a partner may have is part of the join key, so that only true matches
+    # are ever paired.
     named = near_signatures(_names(large).select(*_BLOCK, "name"), "name")
-    a = named.withColumnsRenamed({"name": "name_a", "cut": "cut_a"})
-    b = named.withColumnsRenamed({"name": "name_b", "cut": "cut_b"}).drop("sub")
+    a = named.withColumnRenamed("name", "name_a").withColumn(
+        "cut", F.explode(F.sequence(F.lit(0), 2 - F.col("sub") - F.col("cut")))
+    )
+    b = named.withColumnRenamed("name", "name_b").drop("sub")
     near_names = (
-        a.join(b.hint("merge"), [*_BLOCK, "sig"])
-        .where((F.col("sub") + F.col("cut_a") + F.col("cut_b") <= 2))
+        a.join(b.hint("merge"), [*_BLOCK, "sig", "cut"])
         .select(*_BLOCK, "name_a", "name_b")
         .distinct()
         .hint("merge")
