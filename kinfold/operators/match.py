@@ -9,6 +9,9 @@ are first reduced to the distinct ones per block, and then
 * in a larger block, names meet through their signatures (``near_signatures``), whose groups are
   only ever aggregated. The work grows with the number of names, not with its square, and no
   pair is skipped.
+
+The distinct names are needed several times and are written to the shared folder first, as are the
+names of large blocks. So these functions start jobs when they are called.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from pyspark.sql import functions as F
 from kinfold.functions import full_name, near, near_signatures
 from kinfold.operators.closure import connected_components
 from kinfold.operators.skew import MAX_HOT
+from kinfold.sources.scratch import cut_lineage
 
-SMALL_BLOCK = 256
+# Comparing a name with a thousand others costs about as much as the signatures of one name.
+SMALL_BLOCK = 1024
 _BLOCK = ["kind", "block"]
 
 
@@ -43,8 +48,10 @@ def _names(entries: DataFrame) -> DataFrame:
     )
 
 
-def _by_block_size(rows: DataFrame, n_small: int, size: str) -> tuple[DataFrame, DataFrame]:
-    """Split distinct names into those of small blocks and those of large ones.
+def _by_block_size(
+    rows: DataFrame, n_small: int, size: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """Split distinct names into those of small blocks and those of large ones, if there are any.
 
     The largest blocks are picked out by broadcasting their keys, at most ``MAX_HOT``, so they are
     never shuffled by block. Blocks with a single customer cannot match and are left out.
@@ -65,7 +72,8 @@ def _by_block_size(rows: DataFrame, n_small: int, size: str) -> tuple[DataFrame,
     small = rest.where(F.col(size) <= n_small).select(*columns)
     large = rows.join(F.broadcast(hot), _BLOCK).select(*columns)
     large = large.unionByName(rest.where(F.col(size) > n_small).select(*columns))
-    return small, _spread(large, *_BLOCK, "name")
+    large = cut_lineage(large, "large-blocks")
+    return small, None if large.isEmpty() else _spread(large, *_BLOCK, "name")
 
 
 def _spread(rows: DataFrame, *by: str) -> DataFrame:
@@ -141,7 +149,7 @@ def match_pairs(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
     The result itself is as large as the matches are many; the golden ids below do not need it.
     """
     entries = _entries(customers)
-    members = entries.withColumn("n_ids", F.lit(1))
+    members = cut_lineage(entries.withColumn("n_ids", F.lit(1)), "entries")
     small, large = _by_block_size(members, small_block, "n_customers")
 
     def partners(m):
@@ -155,6 +163,8 @@ def match_pairs(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
         .select(F.explode(F.flatten(F.transform("members", partners))).alias("p"))
         .select("p.id_a", "p.id_b")
     )
+    if large is None:
+        return within.distinct()
 
     # In a large block the signatures give the near names, and these the customers under them.
     # The number of cuts a partner may have is part of the join key, so that only true matches
@@ -184,8 +194,11 @@ def one_hop(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFrame:
     """``(customer_id, golden_customer_id)`` of every customer in a block with others: the
     smallest id among the customer itself and its direct matches."""
     entries = _entries(customers)
-    small, large = _by_block_size(_names(entries), small_block, "n_names")
-    nearest = _nearest_in_small(small).unionByName(_nearest_in_large(large))
+    names = cut_lineage(_names(entries), "names")
+    small, large = _by_block_size(names, small_block, "n_names")
+    nearest = _nearest_in_small(small)
+    if large is not None:
+        nearest = nearest.unionByName(_nearest_in_large(large))
     return (
         entries.join(nearest, [*_BLOCK, "name"])
         .groupBy("customer_id")
@@ -200,7 +213,7 @@ def match_edges(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
     of a signature; there are at most as many edges as customers and signatures.
     """
     entries = _entries(customers)
-    names = _names(entries)
+    names = cut_lineage(_names(entries), "names")
     small, large = _by_block_size(names, small_block, "n_names")
 
     copies = entries.join(names.where("n_ids > 1"), [*_BLOCK, "name"]).select(
@@ -216,6 +229,9 @@ def match_edges(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
         .select(F.explode(F.flatten(F.transform("members", partners))).alias("p"))
         .select("p.u", "p.v")
     )
+    edges = copies.unionByName(within)
+    if large is None:
+        return edges.where("u <> v")
 
     signed, groups = _signature_groups(large)
     met = signed.join(groups, [*_BLOCK, "sig"])
@@ -224,7 +240,7 @@ def match_edges(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
     ok = _allowed()
     centre = F.array_compact(F.array(*[F.when(ok(k), F.col(f"cut{k}")) for k in (0, 1, 2)]))
     across = met.select(F.col("first_id").alias("u"), F.explode(centre).alias("v"))
-    return copies.unionByName(within).unionByName(across).where("u <> v")
+    return edges.unionByName(across).where("u <> v")
 
 
 def transitive(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFrame:
