@@ -44,7 +44,10 @@ def salted_join(
     Rows of ``many`` under a hot key get a salt from their own content, and the matching rows of
     ``one`` are repeated once per salt; all other keys keep one salt and one copy. Rows of a hot
     key that were repeated but found no partner under their salt are removed again: a hot key has
-    a partner under some salt, or it would not be hot.
+    a partner under some salt, or it would not be hot. Equal rows of ``many`` get equal salts.
+
+    ``many`` is read twice, the first time only its keys, to count them; a costly one should be
+    stored before.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left"):

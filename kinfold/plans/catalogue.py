@@ -18,7 +18,7 @@ from kinfold.schemas import EPOCH, METRIC_COLUMNS, PROFILE_COLUMNS, struct_of
 from kinfold.sources.files import (
     parse_cdc, read_master, split_malformed, to_cdc, write_master,
 )
-from kinfold.sources.scratch import scratch_path
+from kinfold.sources.scratch import cut_lineage, scratch_path
 from kinfold.sources.tables import read_table, replace_in_table, upsert_table, write_table
 from kinfold.streaming import dedup_stream, ingest, read_lines, staged
 
@@ -349,7 +349,8 @@ def golden_transitive(spark, sf_dir):
 
 
 def _golden_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return match.assign_golden(roles.customers(spark, sf_dir))
+    """Customers with golden ids, stored once as the jobs do, for they are read several times."""
+    return cut_lineage(match.assign_golden(roles.customers(spark, sf_dir)), "golden")
 
 
 def _account_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,7 +364,14 @@ def _profiles(spark: SparkSession, sf_dir: str, by: str = "customer_id") -> Data
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.assign_segment(_profiles(spark, sf_dir), roles.THRESHOLDS)
+    """Segments of the single customers, which need no matching: each is its own golden one."""
+    customers = ensure_columns(
+        roles.customers(spark, sf_dir), {"golden_customer_id": F.col("customer_id")}
+    )
+    profiles = consolidate.customer_profile(
+        customers, _account_facts(spark, sf_dir), roles.loans(spark, sf_dir)
+    )
+    return segment.assign_segment(profiles, roles.THRESHOLDS)
 
 
 _RESOLVED_SELECT = """select c.customer_id, golden_customer_id, first_name, last_name, email, phone, address, city,
@@ -378,7 +386,7 @@ left join (select * from loans where loan_status = 'DELINQUENT') l on c.customer
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Urgent, unblocked accounts and delinquent loans, so that some customers have none."""
     accounts = roles.accounts(spark, sf_dir).where("status <> 'BLOCKED' and account_type = '1-URGENT'")
-    loans = roles.loans(spark, sf_dir).where("loan_status = 'DELINQUENT'")
+    loans = cut_lineage(roles.loans(spark, sf_dir).where("loan_status = 'DELINQUENT'"), "loans")
     return consolidate.resolved_rows(
         _golden_customers(spark, sf_dir), accounts, loans, min_rows=4
     )
@@ -416,8 +424,9 @@ def customer_profile_by_golden(spark, sf_dir):
     )
 )
 def profile_from_resolved(spark, sf_dir):
-    """The profile from the flat table, where accounts and loans multiply."""
-    return consolidate.profile_from_resolved(_resolved(spark, sf_dir)).drop("updated_at")
+    """The profile from the stored flat table, where accounts and loans multiply."""
+    resolved = cut_lineage(_resolved(spark, sf_dir), "resolved")
+    return consolidate.profile_from_resolved(resolved).drop("updated_at")
 
 
 @query(_with(*_UP_TO_GOLDEN, select=f"select {', '.join(PROFILE_COLUMNS)} from customers join golden using (customer_id)"))
