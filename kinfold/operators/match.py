@@ -210,7 +210,8 @@ def match_edges(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFra
     """A set of edges ``(u, v)`` that connects exactly what the matching pairs connect.
 
     Customers of one block and name form a star around the smallest id, and so do the near names
-    of a signature; there are at most as many edges as customers and signatures.
+    of a signature in a large block: no more edges than customers and signatures. In a small block
+    every two near names are an edge.
     """
     entries = _entries(customers)
     names = cut_lineage(_names(entries), "names")
