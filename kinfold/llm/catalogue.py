@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bpe_automaton, quality_rules, url_digest
+from kinfold.llm import bloom_lm, bpe_automaton, quality_rules, simhash, url_digest
 from kinfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,15 @@ from split left join fits using (rid)
 def op9_url_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on the URL of every page."""
     return url_digest.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query()
+def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact unigram score and the filter's score of every document."""
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and component of every document."""
+    return simhash.components(table(spark, sf_dir, "documents"))
