@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bloom_lm, bpe_automaton, quality_rules, simhash, url_digest
+from kinfold.llm import bloom_lm, bpe_automaton, language_gru, quality_rules, simhash, url_digest
 from kinfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,9 @@ def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and component of every document."""
     return simhash.components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language_gru.identify(table(spark, sf_dir, "documents"))
