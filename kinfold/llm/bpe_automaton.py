@@ -261,7 +261,7 @@ def _per_text(path: str, row: Callable[[TextEncoder, str], tuple]):
 def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     """``keep`` and ``ids``, the token ids of every whole text."""
     return map_texts(
-        docs, keep, "ids array<int>",
+        docs, keep, ["ids array<int>"],
         _per_text(path, lambda e, t: (np.frombuffer(e.encode(t), "<u4").astype(np.int32),)),
     )
 
@@ -275,5 +275,5 @@ def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     return map_texts(
-        docs, keep, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", _per_text(path, row)
+        docs, keep, ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"], _per_text(path, row)
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bloom_lm, bpe_automaton, language_gru, quality_rules, simhash, url_digest
+from kinfold.llm import bloom_lm, bpe_automaton, language_gru, quality_rules, simhash, toxic_crf, url_digest
 from kinfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return language_gru.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    scored = toxic_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")

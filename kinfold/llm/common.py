@@ -41,14 +41,14 @@ def portions(texts: Sequence[str | None], size: int = PORTION) -> Iterator[tuple
 def map_texts(
     docs: DataFrame,
     keep: Sequence[str | Column],
-    schema: str,
+    schema: Sequence[str],
     make: Callable[[], Callable[[list[str]], Sequence[Sequence]]],
 ) -> DataFrame:
     """Add columns computed from ``text`` alone, portion by portion.
 
     ``make`` is called once for each task and returns a function from a list of texts (NULL given
     as the empty text) to the new columns. ``keep`` are the columns to return before them,
-    ``schema`` declares the new ones. Every row is computed from that row only, so a lost task is
+    ``schema`` declares each new one. Every row is computed from that row only, so a lost task is
     simply run again.
     """
     narrow = docs.select(*keep, F.col("text").alias("_text"))
@@ -67,8 +67,8 @@ def map_texts(
                     names=[*batch.schema.names[:-1], *names],
                 )
 
-    names = [c.strip().split()[0].strip("`") for c in schema.split(",")]
-    return narrow.mapInArrow(run, f"{declared}, {schema}" if declared else schema)
+    names = [c.split()[0] for c in schema]
+    return narrow.mapInArrow(run, ", ".join([*([declared] if declared else []), *schema]))
 
 
 def filter_texts(

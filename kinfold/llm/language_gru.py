@@ -280,7 +280,7 @@ def identify(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
         return TextJudge(tagger.value)
 
     held_out = (fold(id_column, FOLDS) == HELD_OUT).alias("held_out")
-    return map_texts(docs, [id_column, held_out], "lang_pred string, score double", make)
+    return map_texts(docs, [id_column, held_out], ["lang_pred string", "score double"], make)
 
 
 def known_language(docs: DataFrame, id_column: str = "doc_id", min_score: float = 0.0) -> DataFrame:

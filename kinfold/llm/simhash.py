@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, *keep: str, n: int = SHINGLE) -> DataFrame:
     def make() -> Callable:
         return lambda texts: [np.array([fingerprint(t, n) for t in texts], np.uint64).view(np.int64)]
 
-    return map_texts(docs, keep, "fp bigint", make)
+    return map_texts(docs, keep, ["fp bigint"], make)
 
 
 class BitPlanes:
