@@ -250,6 +250,10 @@ def text_encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
+def _sha256(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
 def _per_text(path: str, row: Callable[[TextEncoder, str], tuple]):
     def make():
         encoder = text_encoder(path)
@@ -259,10 +263,15 @@ def _per_text(path: str, row: Callable[[TextEncoder, str], tuple]):
 
 
 def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
-    """``keep`` and ``ids``, the token ids of every whole text."""
+    """``keep`` and, for every whole text, n_tokens, the token ``ids`` and the SHA-256 of the text they
+    decode to."""
+
+    def row(encoder: TextEncoder, text: str) -> tuple[int, np.ndarray, str]:
+        ids = np.frombuffer(encoder.encode(text), "<u4")
+        return len(ids), ids.astype(np.int32), _sha256(encoder.decode(ids.tolist()).encode())
+
     return map_texts(
-        docs, keep, ["ids array<int>"],
-        _per_text(path, lambda e, t: (np.frombuffer(e.encode(t), "<u4").astype(np.int32),)),
+        docs, keep, ["n_tokens bigint", "ids array<int>", "decoded_sha256 string"], _per_text(path, row)
     )
 
 
@@ -272,7 +281,7 @@ def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     def row(encoder: TextEncoder, text: str) -> tuple[int, str, str]:
         ids = encoder.encode(text)
         decoded = encoder.decode(np.frombuffer(ids, "<u4").tolist())
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        return len(ids) // 4, _sha256(ids), _sha256(decoded.encode())
 
     return map_texts(
         docs, keep, ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"], _per_text(path, row)

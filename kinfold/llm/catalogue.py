@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bloom_lm, bpe_automaton, language_gru, quality_rules, simhash, toxic_crf, url_digest
+from kinfold.llm import (
+    bloom_lm, bpe_automaton, decontaminate, language_gru, quality_rules, secret_cnn, simhash,
+    toxic_crf, url_digest,
+)
 from kinfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +141,35 @@ def op7_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     scored = toxic_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op3_secret_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    return secret_cnn.scan(table(spark, sf_dir, "documents"))
+
+
+_OP5 = r"""
+with words_ as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+held as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from words_)),
+item_words as (
+  select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from benchmark),
+wanted as (
+  select distinct item_id, array_to_string(w[i:i + 4], ' ') as g
+  from (select item_id, w, unnest(range(1, len(w) - 3)) as i from item_words)),
+sizes as (select item_id, count(*) as n_item from wanted group by item_id),
+shared as (select doc_id, item_id, count(*) as n_shared from held join wanted using (g) group by doc_id, item_id)
+select doc_id, item_id, n_item, n_shared, n_shared / n_item as containment
+from shared join sizes using (item_id) where n_shared >= ceil(0.8 * n_item)
+"""
+
+
+@query(_OP5)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document."""
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
