@@ -102,10 +102,12 @@ def _event(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return first, _mix(first) | _U(1)
 
 
-def make_segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """The bits of a segment that holds the counts of some distinct keys."""
+def make_segment(keys: np.ndarray, counts: np.ndarray, most: int | None = None) -> bytes:
+    """The bits of a segment that holds the counts of some distinct keys, in ``most`` bytes at most."""
     levels = _levels_of(counts)
     n_bits = -(-int(levels.sum()) * BITS // 64) * 64
+    if most is not None:
+        n_bits = min(n_bits, max(64, most * 8))
     bits = np.zeros(n_bits, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         first, step = _event(keys[levels >= level], level)

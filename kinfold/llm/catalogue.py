@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kinfold.llm import (
-    bloom_lm, bpe_automaton, decontaminate, language_gru, quality_rules, secret_cnn, simhash,
-    toxic_crf, url_digest,
+    bloom_lm, bpe_automaton, decontaminate, language_gru, quality_rules, repeats, secret_cnn,
+    simhash, toxic_crf, url_digest,
 )
 from kinfold.llm.common import table
 
@@ -173,3 +173,9 @@ from shared join sizes using (item_id) where n_shared >= ceil(0.8 * n_item)
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document."""
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of every document that repeat earlier ones."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
