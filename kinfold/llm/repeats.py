@@ -56,10 +56,15 @@ class _Powers:
     def __init__(self):
         self.up = self.down = np.ones(0, np.uint64)
 
+    @staticmethod
+    def _of(base: int, n: int) -> np.ndarray:
+        factors = np.full(n, base, np.uint64)
+        factors[:1] = 1
+        return np.cumprod(factors)
+
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            self.up = np.cumprod(np.concatenate([[1], np.full(n - 1, _BASE, np.uint64)]).astype(np.uint64))
-            self.down = np.cumprod(np.concatenate([[1], np.full(n - 1, _INVERSE, np.uint64)]).astype(np.uint64))
+            self.up, self.down = (self._of(base, n) for base in (_BASE, _INVERSE))
         return self.up[:n], self.down[:n]
 
 
