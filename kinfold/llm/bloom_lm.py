@@ -41,7 +41,7 @@ BITS, PROBES = 8, 4
 #: Keys a segment is made for, about.
 SEGMENT = 2_000_000
 #: Characters of text that are counted together.
-PORTION = 12_000_000
+PORTION = 4_000_000
 END, START = b" ", b"  "  # no word has a space
 
 _U = np.uint64
@@ -77,12 +77,19 @@ class Tokens:
     def counts(self) -> np.ndarray:
         return np.bincount(self.ids, minlength=len(self.words))
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token the keys of itself, of what stands before it, and of the pair."""
-        own = _hash(self.words.to_pylist())[self.ids]
-        before = np.roll(own, 1)
-        before[self.starts] = _hash([START])[0]
-        return own, before, _mix(before * _U(0x9E3779B97F4A7C15) + own)
+    def hashes(self) -> np.ndarray:
+        """The hashes of the distinct words and, behind them, of the start of a text."""
+        return _hash([*self.words.to_pylist(), START])
+
+    def before(self) -> np.ndarray:
+        """For each token the number of the word before it."""
+        ids = np.roll(self.ids, 1)
+        ids[self.starts] = len(self.words)
+        return ids
+
+    def pairs(self, hashes: np.ndarray) -> np.ndarray:
+        """For each token the key of itself and the word before it."""
+        return _mix(hashes[self.before()] * _U(0x9E3779B97F4A7C15) + hashes[self.ids])
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.starts) if len(self.starts) else np.zeros(0)
@@ -149,6 +156,24 @@ class Filter:
         return _COUNT_OF[levels]
 
 
+class Vocabulary:
+    """Words with their counts, looked up by hash and then compared."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray):
+        keys = _hash(words)
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order].astype(np.int64)
+        self.words = pa.array(words, pa.binary()).take(pa.array(order))
+
+    def __call__(self, words: pa.Array, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the words are here, and their counts, zero for the others."""
+        if not len(self.keys):
+            return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        here = pc.equal(self.words.take(pa.array(at)), words).to_numpy(zero_copy_only=False)
+        return here, np.where(here, self.counts[at], 0)
+
+
 def _texts(batch: pa.RecordBatch, name: str = "text") -> list[str | None]:
     return batch.column(batch.schema.names.index(name)).to_pylist()
 
@@ -221,21 +246,23 @@ def pair_segments(train: DataFrame, n: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = _texts(batch)
+            found = []
             for a, b in portions(texts, PORTION):
-                keys, number = _added_up(Tokens(texts[a:b]).keys()[2], None)
-                segment = (keys % _U(n)).astype(np.int32)
-                order = np.argsort(segment, kind="stable")
-                keys, number, segment = keys[order], number[order].astype(np.uint32), segment[order]
-                held, start = np.unique(segment, return_index=True)
-                ends = [*start[1:].tolist(), len(keys)]
-                cuts = list(zip(start.tolist(), ends, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(held), pa.array([keys[x:y].tobytes() for x, y in cuts], pa.binary()),
-                        pa.array([_packed(number[x:y]) for x, y in cuts], pa.binary()),
-                    ],
-                    names=["segment", "keys", "counts"],
-                )
+                tokens = Tokens(texts[a:b])
+                found.append(tokens.pairs(tokens.hashes()))
+            keys, number = _added_up(np.concatenate(found or [np.zeros(0, np.uint64)]), None)
+            segment = (keys % _U(n)).astype(np.int32)
+            order = np.argsort(segment, kind="stable")
+            keys, number, segment = keys[order], number[order].astype(np.uint32), segment[order]
+            held, start = np.unique(segment, return_index=True)
+            cuts = list(zip(start.tolist(), [*start[1:].tolist(), len(keys)], strict=False))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(held), pa.array([keys[x:y].tobytes() for x, y in cuts], pa.binary()),
+                    pa.array([_packed(number[x:y]) for x, y in cuts], pa.binary()),
+                ],
+                names=["segment", "keys", "counts"],
+            )
 
     def build(group: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(group["keys"].to_pylist()), np.uint64)
@@ -295,9 +322,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", max_bytes: int = MAX_BYTES
 
     least = max(1, -(-n // frequent))
     common = counts.where(F.col("n") >= least).toArrow().combine_chunks()  # ``frequent`` rows at most
-    common = spark.sparkContext.broadcast(
-        (pa.array(common["word"].to_pylist(), pa.binary()), common["n"].to_numpy())
-    )
+    common = spark.sparkContext.broadcast(Vocabulary(common["word"].to_pylist(), common["n"].to_numpy()))
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("_n"), F.col(id_column).alias("_id"),
@@ -354,30 +379,28 @@ def _pass(rows: DataFrame, held, groups, n: int, v: int, prior: float, common) -
         mine = [np.zeros(f.n, bool) for f in (singles, singles, doubles)]
         for m, g in zip(mine, groups, strict=True):
             m[g] = True
-        floor = np.log10(1 / (n + v + 1))
         for batch in batches:
             texts = _texts(batch)
             for a, b in portions(texts, PORTION):
                 tokens = Tokens(texts[a:b])
                 size = b - a
                 score = np.zeros(len(tokens.ids))
-                own, before, pair = tokens.keys()
-                here = mine[0][(own % _U(singles.n)).astype(np.int64)]
-                here &= mine[1][(before % _U(singles.n)).astype(np.int64)]
+                hashes = tokens.hashes()
+                before, pair = tokens.before(), tokens.pairs(hashes)
+                home = (hashes % _U(singles.n)).astype(np.int64)
+                here = mine[0][home][tokens.ids] & mine[1][home][before]
                 here &= mine[2][(pair % _U(doubles.n)).astype(np.int64)]
                 at = np.flatnonzero(here)
-                alone = (singles.counts(own[at]) + 1) / (n + v + 1)
-                context = singles.counts(before[at])
+                count = singles.counts(hashes)  # once for each distinct word
+                context = count[before[at]]
                 together = np.minimum(doubles.counts(pair[at]), context)
+                alone = (count[tokens.ids[at]] + 1) / (n + v + 1)
                 score[at] = np.log10((together + prior * alone) / (context + prior))
                 known = np.zeros(size, np.int64)
                 base = np.zeros(size)
                 rare = pa.array([None] * size, pa.list_(_RARE))
                 if common is not None:
-                    vocabulary, number = common.value
-                    found = pc.index_in(tokens.words, value_set=vocabulary).fill_null(-1).to_numpy()
-                    exact = np.where(found >= 0, number[found] if len(number) else 0, 0)
-                    is_common = found >= 0
+                    is_common, exact = common.value(tokens.words, hashes[:-1])
                     value = np.where(is_common, np.log10((exact + 1) / (n + v + 1)), 0.0)
                     base = tokens.per_text(value[tokens.ids])
                     known = tokens.per_text(is_common[tokens.ids].astype(np.int64))

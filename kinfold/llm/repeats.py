@@ -37,7 +37,7 @@ from kinfold.llm.common import portions
 from kinfold.llm.run_index import RunIndex
 from kinfold.sources.scratch import cut_lineage
 
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM = 100, 40
 #: Different fragments of one anchor that are compared by an index, and fragments for an index in all.
 CAP, TOGETHER = 4096, 6000
 #: Bytes of the filter, at most, and keys for each of its segments.
