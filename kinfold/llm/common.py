@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+import zlib
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.sources.scratch import scratch_path
+
 #: Texts of this many characters together are worked on at once in a Python worker.
 PORTION = 2_000_000
 
 
+def store(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write ``data`` to a new file in the shared folder; its path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "files"), name)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(data))
+    out.close()
+    return path.toString()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once for a session, wherever they were started."""
+    root = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(str(f.relative_to(root.parent))), f.read_bytes())
+    name = f"{root.name}-{zlib.crc32(packed.getvalue()):08x}.zip"
+    if name not in spark.sparkContext._python_includes:
+        spark.sparkContext.addPyFile(store(spark, name, packed.getvalue()))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -116,21 +116,12 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
         F.count("*").alias("n_docs"), F.count_if("base_failed").alias("n_failed")
     )
     rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v")).select(
-        "m",
-        F.when(
-            (F.col("v") > 0) & (F.col("v") < F.col("m") * (1 - F.col("m"))),
-            F.col("m") * (1 - F.col("m")) / F.col("v") - 1,
-        ).otherwise(1.0).alias("weight"),
-    )
-    # The prior is one row, so each host meets it through a key that all share.
-    shrunk = hosts.withColumn("_k", F.lit(0)).join(
-        F.broadcast(prior.withColumn("_k", F.lit(0))), "_k"
-    )
-    value = (F.col("n_failed") + F.col("m") * F.col("weight")) / (F.col("n_docs") + F.col("weight"))
-    return shrunk.select(
-        "host", "n_docs", "n_failed", value.alias("shrunk_rate"),
-        (value > max_rate).alias("host_failed"),
+    m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()  # two numbers
+    m, v = m or 0.0, v or 0.0
+    weight = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else 1.0
+    shrunk = (F.col("n_failed") + F.lit(m * weight)) / (F.col("n_docs") + F.lit(weight))
+    return hosts.select(
+        "host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk > max_rate).alias("host_failed")
     )
 
 

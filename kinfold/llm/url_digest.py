@@ -16,6 +16,7 @@ verdict; equal rows each get a row; of equal rules the last one given holds.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -23,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from kinfold.sources.scratch import scratch_path
+from kinfold.llm.common import store
 
 MAX_RULES = 5_000_000
 _URL = re.compile(r"^.*?://([^/?#]*)([^?#]*)", re.S)
@@ -117,21 +118,13 @@ class DigestIndex:
         return found
 
 
-def _ship(spark: SparkSession, data: bytes) -> str:
-    """Store ``data`` in the shared folder and give every worker a copy; its name among the files."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'rules')}.bin")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(data))
-    out.close()
-    spark.sparkContext.addFile(path.toString())
-    return path.getName()
-
-
 def judge_urls(
     pages: DataFrame, rules: Sequence[Rule], default: str = "allow", id_column: str = "page_id"
 ) -> DataFrame:
     """``(id, host, path, rule, verdict)`` for every page."""
-    name = _ship(pages.sparkSession, DigestIndex.build(rules).to_bytes())
+    spark = pages.sparkSession
+    name = f"rules-{uuid.uuid4().hex}.bin"
+    spark.sparkContext.addFile(store(spark, name, DigestIndex.build(rules).to_bytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = DigestIndex.load(SparkFiles.get(name))
