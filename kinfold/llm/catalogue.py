@@ -69,7 +69,7 @@ hosts as (
   select host, count(*) as n_docs, count(*) filter (base_failed) as n_failed from judged group by host),
 moments as (select avg(n_failed / n_docs) as m, var_pop(n_failed / n_docs) as v from hosts),
 prior as (
-  select m, case when v > 0 and v < m * (1 - m) then m * (1 - m) / v - 1 else 1.0 end as weight from moments),
+  select m, case when v > 0 then greatest(2.0, m * (1 - m) / v - 1) else 2.0 end as weight from moments),
 verdicts as (
   select host as host_, (n_failed + m * weight) / (n_docs + weight) > 0.5 as host_failed from hosts, prior)
 select doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_failed,

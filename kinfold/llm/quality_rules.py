@@ -23,6 +23,8 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
 MAX_RATE = 0.5
+#: Documents that the prior is worth at least, so that one failure alone condemns no host.
+MIN_WEIGHT = 2.0
 
 
 def _words(text: Column) -> Column:
@@ -109,8 +111,8 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     """One row for each host: n_docs, n_failed, shrunk_rate, host_failed.
 
     ``judged`` has ``host`` and ``base_failed``. The prior beta(a, b) has the mean and variance of
-    the hosts' rates, a host counting once; with one host, or without spread, or with
-    more spread than a beta distribution can have, it is worth one document at the mean rate.
+    the hosts' rates, a host counting once; it is worth ``MIN_WEIGHT`` documents at least, and
+    just that where the rates have no spread.
     """
     hosts = judged.groupBy("host").agg(
         F.count("*").alias("n_docs"), F.count_if("base_failed").alias("n_failed")
@@ -118,7 +120,7 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     rate = F.col("n_failed") / F.col("n_docs")
     m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()  # two numbers
     m, v = m or 0.0, v or 0.0
-    weight = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else 1.0
+    weight = max(MIN_WEIGHT, m * (1 - m) / v - 1) if v > 0 else MIN_WEIGHT
     shrunk = (F.col("n_failed") + F.lit(m * weight)) / (F.col("n_docs") + F.lit(weight))
     return hosts.select(
         "host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk > max_rate).alias("host_failed")

@@ -127,7 +127,9 @@ def marginals(unary: np.ndarray, real: np.ndarray, pair: np.ndarray, want_pairs:
                 joint = np.array([[f0[k - 1] * m[0, 0] * q0, f0[k - 1] * m[0, 1] * q1],
                                   [f1[k - 1] * m[1, 0] * q0, f1[k - 1] * m[1, 1] * q1]])
                 pairs += (joint / joint.sum(axis=(0, 1)) * real[:, k]).sum(axis=2)
-            n1, n0 = m[1, 0] * q0 + m[1, 1] * q1, m[0, 0] * q0 + m[0, 1] * q1
+            # Padding stands at the end of a row and says nothing about what is before it.
+            n1 = np.where(real[:, k], m[1, 0] * q0 + m[1, 1] * q1, 1)
+            n0 = np.where(real[:, k], m[0, 0] * q0 + m[0, 1] * q1, 1)
             s = n1 + n0
             b1, b0 = n1 / s, n0 / s
     return out.T * real, pairs
@@ -308,7 +310,8 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", thresho
 
         def apply(texts: list[str]) -> list:
             if fitted is None:
-                return [[0.0] * len(texts), [0] * len(texts), [[]] * len(texts)]
+                nothing = np.zeros(len(texts))
+                return [nothing, nothing.astype(np.int32), pa.array([[]] * len(texts), _SPANS)]
             s, p = _tagged(fitted, texts)
             scores = fitted.score(s, p)
             spans: list[list] = [[] for _ in texts]
