@@ -1,7 +1,7 @@
 from kinfold.functions.columns import ensure_columns, money_sum, orderable_columns, salt_of
-from kinfold.functions.text import edit_distance, full_name, near, near_signatures
+from kinfold.functions.text import edit_distance, full_name, near, own_pieces, possible_pieces
 
 __all__ = [
-    "edit_distance", "ensure_columns", "full_name", "money_sum", "near", "near_signatures",
-    "orderable_columns", "salt_of",
+    "edit_distance", "ensure_columns", "full_name", "money_sum", "near",
+    "orderable_columns", "own_pieces", "possible_pieces", "salt_of",
 ]

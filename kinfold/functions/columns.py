@@ -14,16 +14,17 @@ def ensure_columns(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     return df.withColumns({c: e for c, e in defaults.items() if c not in df.columns})
 
 
-def money_sum(amount: Column, scale: int | None = 2) -> Column:
+def money_sum(amount: Column, scale: int | None = None) -> Column:
     """Sum of an amount with NULL counted as 0, as a double.
 
-    Amounts are added as whole units of ``10**-scale``, so the result does not depend on the
-    order in which tasks finish. ``scale=None`` adds the doubles themselves.
+    The doubles themselves are added, so the last digits can depend on the order in which tasks
+    finish. Where amounts are known to have at most ``scale`` decimals, they are added as whole units of
+    ``10**-scale``, which does not; an amount that is no number counts as 0 there.
     """
     amount = F.coalesce(amount, F.lit(0.0))
     if scale is None:
         return F.sum(amount)
-    units = F.round(amount * F.lit(float(10**scale))).cast("bigint")
+    units = F.coalesce(F.round(amount * F.lit(float(10**scale))).try_cast("bigint"), F.lit(0))
     return F.sum(units) / F.lit(float(10**scale))
 
 

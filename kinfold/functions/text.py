@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 MAX_EDITS = 2
 NULL_DISTANCE = 9999
 
-_LONG = 63  # a longer remainder is keyed by its SHA-256 (64 digits), to keep shuffled rows narrow
-
-
 def full_name(first: str = "first_name", last: str = "last_name") -> Column:
     """First and last name with one space between; NULL if either is NULL."""
     return F.concat(F.col(first), F.lit(" "), F.col(last))
@@ -30,45 +27,39 @@ def near(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b, MAX_EDITS) >= 0
 
 
-def near_signatures(df: DataFrame, name: str) -> DataFrame:
-    """Explode each row into the signatures of its name, as columns ``sig`` and ``cut``.
+PIECES = MAX_EDITS + 1
+
+
+def _piece(length: Column, i: int) -> tuple[Column, Column]:
+    """Start (from 0) and length of the i-th of ``PIECES`` equal parts of a name."""
+    start = F.floor(F.lit(i) * length / PIECES).cast("int")
+    return start, (F.floor(F.lit(i + 1) * length / PIECES).cast("int") - start)
+
+
+def own_pieces(name: Column) -> Column:
+    """The name cut into three pieces, as ``(n, i, piece)`` with its length and the piece's number."""
+    n = F.length(name)
+    parts = []
+    for i in range(PIECES):
+        start, size = _piece(n, i)
+        parts.append(F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(name, start + 1, size).alias("piece")))
+    return F.array(*parts)
+
+
+def possible_pieces(name: Column) -> Column:
+    """What the pieces of a near name that is not longer can be, in the form of ``own_pieces``.
 
-    Two names are at most two edits apart exactly if they share a ``sig`` with
-    ``sub + cut_a + cut_b <= 2``, where ``sub`` (column, a function of ``sig``) counts the
-    replaced letters and ``cut`` the letters dropped from that name. A signature is the name
-    without up to two letters; a letter counted as replaced leaves its position in the
-    signature, a dropped one leaves nothing. A name of n letters has about 2n^2 signatures, so
-    equal-signature groups replace the comparison of all names with all others.
+    Two edits leave one of three pieces as it is, moved by two places at most: 45 rows for a
+    name, however long it is.
     """
-    c = F.col(name)
-    n = F.length(c)
-    i, j = F.col("_i"), F.col("_j")
-    rest = F.when(i == 0, c).otherwise(
-        F.concat(
-            F.substr(c, F.lit(1), i - 1),
-            F.when(j > i, F.substr(c, i + 1, j - i - 1)).otherwise(F.lit("")),
-            F.substr(c, j + 1, n),
-        )
-    )
-    short = F.when(F.length(F.col("_rest")) > _LONG, F.sha2(F.col("_rest"), 256)).otherwise(
-        F.col("_rest")
-    )
-
-    def sig(sub: int, cut: int, *places: Column) -> Column:
-        parts = [F.lit(f"{sub}:")]
-        for p in places:
-            parts += [p.cast("string"), F.lit(":")]
-        return F.struct(
-            F.lit(sub).alias("sub"), F.lit(cut).alias("cut"), F.concat(*parts, short).alias("sig")
-        )
-
-    whole = F.array(sig(0, 0))
-    one = F.array(sig(0, 1), sig(1, 0, i))
-    two = F.array(sig(0, 2), sig(1, 1, i), sig(1, 1, j - 1), sig(2, 0, i, j))
-    return (
-        df.withColumn("_i", F.explode(F.sequence(F.lit(0), n)))
-        .withColumn("_j", F.explode(F.when(i == 0, F.array(F.lit(0))).otherwise(F.sequence(i, n))))
-        .withColumn("_rest", rest)
-        .withColumn("_s", F.explode(F.when(i == 0, whole).when(i == j, one).otherwise(two)))
-        .select(*df.columns, "_s.sub", "_s.cut", "_s.sig")
-    )
+    rows = []
+    for shorter in range(MAX_EDITS + 1):
+        n = F.length(name) - shorter
+        for i in range(PIECES):
+            start, size = _piece(n, i)
+            for moved in range(-MAX_EDITS, MAX_EDITS + 1):
+                at = start + moved
+                fits = (n >= 0) & (at >= 0) & (at + size <= F.length(name))
+                row = F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(name, at + 1, size).alias("piece"))
+                rows.append(F.when(fits, row))
+    return F.array_distinct(F.array_compact(F.array(*rows)))

@@ -21,7 +21,7 @@ def connected_components(
     large-star / small-star method: first each node hands its larger neighbours to its smallest
     one, then its smaller neighbours. The edges never grow in number, and after a number of
     rounds logarithmic in the longest path each component is a star around its smallest node. A
-    node with very many neighbours is joined by broadcasting its one row (``lookup_join``). Every
+    node with very many neighbours is salted (``lookup_join``). Every
     round is written to the shared folder, so a lost executor costs one round at most.
     """
     down = edges.select(
@@ -43,7 +43,7 @@ def connected_components(
 
 
 def _hand_over(edges: DataFrame, smallest: DataFrame, hot_rows: int, degree: int) -> DataFrame:
-    """Join edges with the smallest neighbour of their ``u``, by broadcast for nodes with many."""
+    """Join edges with the smallest neighbour of their ``u``; nodes with very many are salted."""
     if degree < hot_rows:
         return edges.join(smallest, "u")
     return lookup_join(edges, smallest, ["u"], weight="n", min_rows=hot_rows)

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions import money_sum
+from kinfold.functions import money_sum, salt_of
 from kinfold.operators.latest import latest_per_key
-from kinfold.operators.skew import HOT_ROWS, salted_join
+from kinfold.operators.skew import HOT_ROWS, hot_keys, salted_join
 from kinfold.schemas import METRIC_COLUMNS, PROFILE_COLUMNS
 
 # The account and loan states that are counted, per metric.
@@ -46,7 +46,17 @@ def resolved_rows(
     with_accounts = salted_join(
         customers.select(*PROFILE_COLUMNS), a, "customer_id", n_salts, "left", min_rows
     )
-    flat = salted_join(with_accounts, l, "customer_id", n_salts, "left", min_rows)
+    # A customer with very many accounts is hot on this side now: its rows are spread by account,
+    # and its loans are repeated for each part.
+    hot = hot_keys(a, ["customer_id"], min_rows).select("customer_id", F.lit(True).alias("_many"))
+    parts = F.when(F.col("_many"), F.sequence(F.lit(0), F.lit(n_salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = with_accounts.join(hot, "customer_id", "left").withColumn(
+        "_part", F.when(F.col("_many"), salt_of(n_salts, "account_id")).otherwise(0)
+    )
+    repeated = l.join(hot, "customer_id", "left").withColumn("_part", F.explode(parts))
+    flat = salted_join(
+        spread.drop("_many"), repeated.drop("_many"), ["customer_id", "_part"], n_salts, "left", min_rows
+    )
     return flat.select(
         *PROFILE_COLUMNS, "account_id", "account_type", "balance", "account_status",
         "loan_id", "loan_type", "loan_amount", "emi_amount", "loan_status",
@@ -96,7 +106,7 @@ def customer_profile(
     stamp: Column | None = None,
     account_states: Mapping[str, str] = ACCOUNT_STATES,
     loan_states: Mapping[str, str] = LOAN_STATES,
-    money_scale: int | None = 2,
+    money_scale: int | None = None,
 ) -> DataFrame:
     """One row per customer: profile columns, counts and totals.
 
@@ -123,7 +133,8 @@ def customer_profile(
     if by == "golden_customer_id":
         owner = customers.select("customer_id", "golden_customer_id")
         golden = owner.select(F.col("golden_customer_id").alias("customer_id")).distinct()
-        a, l = _add_up(owner, a), _add_up(owner, l)
+        a = _add_up(owner, a, "total_balance", money_scale)
+        l = _add_up(owner, l, "total_loan_amount", money_scale)
         profile = profile.join(golden, "customer_id", "left_semi")
     out = profile.join(a, "customer_id", "left").join(l, "customer_id", "left")
     totals = {"total_balance", "total_loan_amount"}
@@ -138,12 +149,11 @@ def customer_profile(
     )
 
 
-def _add_up(owner: DataFrame, metrics: DataFrame) -> DataFrame:
-    names = [c for c in metrics.columns if c != "customer_id"]
-    sums = []
-    for c in names:
-        total = money_sum(F.col(c)) if c.startswith("total_") else F.sum(c)
-        sums.append(total.alias(c))
+def _add_up(owner: DataFrame, metrics: DataFrame, amount: str, scale: int | None) -> DataFrame:
+    sums = [
+        (money_sum(F.col(c), scale) if c == amount else F.sum(c)).alias(c)
+        for c in metrics.columns if c != "customer_id"
+    ]
     return (
         metrics.join(owner, "customer_id")
         .groupBy(F.col("golden_customer_id").alias("customer_id"))
@@ -152,7 +162,7 @@ def _add_up(owner: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def profile_from_resolved(
-    resolved: DataFrame, stamp: Column | None = None, money_scale: int | None = 2
+    resolved: DataFrame, stamp: Column | None = None, money_scale: int | None = None
 ) -> DataFrame:
     """The customer profile of a flat resolved table, without over-counting its m x n rows."""
     profiles = resolved.groupBy("customer_id").agg(

@@ -3,15 +3,14 @@
 Two customers match if they share an email or a phone and their full names differ by at most two
 edits. A shared email or phone is a *block*. Blocks differ in size by many orders of magnitude: a
 personal email is shared by two or three records, a placeholder phone by a third of all. So names
-are first reduced to the distinct ones per block, and then
-
-* a block with at most ``SMALL_BLOCK`` distinct names is compared within itself;
-* in a larger block, names meet through their signatures (``near_signatures``), whose groups are
-  only ever aggregated. The work grows with the number of names, not with its square, and no
-  pair is skipped.
-
-The distinct names are needed several times and are written to the shared folder first, as are the
-names of large blocks. So these functions start jobs when they are called.
+are first reduced to the distinct ones per block. Near names then meet in an equi-join: of three
+pieces of a name two edits leave one as it is, so one name is put under its pieces and the other
+under all that these may be, a number of rows that does not depend on the length of the name or the size of the
+block. The edit distance is part of the join, so only true matches leave it. Pieces that very
+many names of a block share are salted.
+
+The distinct names are needed several times and are written to the shared folder first, so these
+functions start jobs when they are called.
 """
 
 from __future__ import annotations
@@ -19,13 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions import full_name, near, near_signatures
+from kinfold.functions import full_name, near, own_pieces, possible_pieces
 from kinfold.operators.closure import connected_components
-from kinfold.operators.skew import MAX_HOT
+from kinfold.operators.skew import HOT_ROWS, lookup_join, salted_join
 from kinfold.sources.scratch import cut_lineage
 
-# Comparing a name with a thousand others costs about as much as the signatures of one name.
-SMALL_BLOCK = 1024
 _BLOCK = ["kind", "block"]
 
 
@@ -48,223 +45,104 @@ def _names(entries: DataFrame) -> DataFrame:
     )
 
 
-def _by_block_size(
-    rows: DataFrame, n_small: int, size: str
-) -> tuple[DataFrame, DataFrame | None]:
-    """Split distinct names into those of small blocks and those of large ones, if there are any.
+def _near_names(names: DataFrame, min_rows: int) -> DataFrame:
+    """Pairs of different near names of a block, each once: (kind, block, name_a, id_a, name_b, id_b).
 
-    The largest blocks are picked out by broadcasting their keys, at most ``MAX_HOT``, so they are
-    never shuffled by block. Blocks with a single customer cannot match and are left out.
+    ``names`` has the distinct names of each block with ``first_id``. A block with one name has no
+    pair and is left out before names are taken to pieces.
     """
-    sizes = (
-        rows.groupBy(*_BLOCK)
-        .agg(F.count("*").alias("n_names"), F.sum("n_ids").alias("n_customers"))
-        .where("n_customers > 1")
-    )
-    hot = (
-        sizes.where(F.col(size) > n_small)
-        .orderBy(F.desc(size), *_BLOCK)
-        .limit(MAX_HOT)
-        .select(*_BLOCK)
-    )
-    columns = rows.columns
-    rest = _spread(rows.join(F.broadcast(hot), _BLOCK, "left_anti"), *_BLOCK).join(sizes, _BLOCK)
-    small = rest.where(F.col(size) <= n_small).select(*columns)
-    large = rows.join(F.broadcast(hot), _BLOCK).select(*columns)
-    large = large.unionByName(rest.where(F.col(size) > n_small).select(*columns))
-    large = cut_lineage(large, "large-blocks")
-    return small, None if large.isEmpty() else _spread(large, *_BLOCK, "name")
-
-
-def _spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Partition by ``by`` into the full number of shuffle partitions.
-
-    Comparing names costs far more than moving them, so adaptive execution, which goes by bytes,
-    would leave this work to too few tasks.
-    """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *by)
-
-
-def _members(small: DataFrame, id_column: str) -> DataFrame:
-    """One row per small block, with its names; the lists are bounded by the block size."""
-    return small.groupBy(*_BLOCK).agg(
-        F.collect_list(F.struct("name", F.col(id_column).alias("id"))).alias("members")
-    )
-
-
-def _nearest_in_small(small: DataFrame) -> DataFrame:
-    """Smallest customer id among the near names, for every name of a small block."""
-
-    def smallest_near(m):
-        same = F.filter("members", lambda o: near(m["name"], o["name"]))
-        return F.struct(
-            m["name"].alias("name"), F.array_min(F.transform(same, lambda o: o["id"])).alias("near_id")
-        )
-
-    return (
-        _members(small, "first_id")
-        .select(*_BLOCK, F.explode(F.transform("members", smallest_near)).alias("m"))
-        .select(*_BLOCK, "m.name", "m.near_id")
-    )
-
-
-def _signature_groups(large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The signatures of all names, and per signature the smallest id for each number of cuts."""
-    signed = near_signatures(large.select(*_BLOCK, "name", "first_id"), "name")
-    groups = (
-        signed.groupBy(*_BLOCK, "sig")
-        .agg(
-            F.count("*").alias("n"),
-            *[F.min(F.when(F.col("cut") == k, F.col("first_id"))).alias(f"cut{k}") for k in (0, 1, 2)],
-        )
-        .where("n > 1")
-    )
-    # Spark's estimates do not see how much an explode adds, and would broadcast this side.
-    return signed, groups.hint("merge")
-
-
-def _allowed(of: str = "cut"):
-    """Per number of cuts of the partner: is it within two edits together with ``sub`` and ours?"""
-    return lambda k: F.col("sub") + F.col(of) + F.lit(k) <= 2
+    shared = names.groupBy(*_BLOCK).agg(F.count("*").alias("n_names")).where("n_names > 1")
+    rest = names.join(shared, _BLOCK, "left_semi")
 
+    def under(pieces, side: str) -> DataFrame:
+        return rest.select(
+            *_BLOCK, F.col("name").alias(f"name_{side}"), F.col("first_id").alias(f"id_{side}"),
+            F.explode(pieces(F.col("name"))).alias("p"),
+        ).select(*_BLOCK, f"name_{side}", f"id_{side}", "p.n", "p.i", "p.piece")
 
-def _nearest_in_large(large: DataFrame) -> DataFrame:
-    signed, groups = _signature_groups(large)
-    met = signed.join(groups, [*_BLOCK, "sig"])
-    ok = _allowed()
-    nearest = F.least(
-        F.col("first_id"), *[F.when(ok(k), F.col(f"cut{k}")) for k in (0, 1, 2)]
-    )
-    return (
-        met.select(*_BLOCK, "name", nearest.alias("near_id"))
-        .groupBy(*_BLOCK, "name")
-        .agg(F.min("near_id").alias("near_id"))
-    )
+    keys = [*_BLOCK, "n", "i", "piece"]
+    met = salted_join(under(own_pieces, "a"), under(possible_pieces, "b"), keys, how="inner", min_rows=min_rows)
+    once = (F.length("name_a") < F.length("name_b")) | (F.col("name_a") < F.col("name_b"))
+    true = met.where(once & (F.col("name_a") != F.col("name_b")) & near(F.col("name_a"), F.col("name_b")))
+    return true.select(*_BLOCK, "name_a", "id_a", "name_b", "id_b").distinct()
 
 
-def match_pairs(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFrame:
+def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """All matching pairs ``(id_a, id_b)`` with ``id_a < id_b``, each once.
 
     The result itself is as large as the matches are many; the golden ids below do not need it.
     """
-    entries = _entries(customers)
-    members = cut_lineage(entries.withColumn("n_ids", F.lit(1)), "entries")
-    small, large = _by_block_size(members, small_block, "n_customers")
-
-    def partners(m):
-        later = F.filter(
-            "members", lambda o: (m["id"] < o["id"]) & near(m["name"], o["name"])
-        )
-        return F.transform(later, lambda o: F.struct(m["id"].alias("id_a"), o["id"].alias("id_b")))
-
-    within = (
-        _members(small, "customer_id")
-        .select(F.explode(F.flatten(F.transform("members", partners))).alias("p"))
-        .select("p.id_a", "p.id_b")
-    )
-    if large is None:
-        return within.distinct()
-
-    # In a large block the signatures give the near names, and these the customers under them.
-    # The number of cuts a partner may have is part of the join key, so that only true matches
-    # are ever paired.
-    named = near_signatures(_names(large).select(*_BLOCK, "name"), "name")
-    a = named.withColumnRenamed("name", "name_a").withColumn(
-        "cut", F.explode(F.sequence(F.lit(0), 2 - F.col("sub") - F.col("cut")))
-    )
-    b = named.withColumnRenamed("name", "name_b").drop("sub")
-    near_names = (
-        a.join(b.hint("merge"), [*_BLOCK, "sig", "cut"])
-        .select(*_BLOCK, "name_a", "name_b")
-        .distinct()
-        .hint("merge")
-    )
-    ids = large.select(*_BLOCK, "name", "customer_id")
-    across = (
-        near_names.join(ids.withColumnsRenamed({"name": "name_a", "customer_id": "id_a"}), [*_BLOCK, "name_a"])
-        .join(ids.withColumnsRenamed({"name": "name_b", "customer_id": "id_b"}), [*_BLOCK, "name_b"])
-        .where("id_a < id_b")
-        .select("id_a", "id_b")
-    )
-    return within.unionByName(across).distinct()
-
-
-def one_hop(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFrame:
-    """``(customer_id, golden_customer_id)`` of every customer in a block with others: the
-    smallest id among the customer itself and its direct matches."""
+    entries = cut_lineage(_entries(customers), "entries")
+    names = cut_lineage(_names(entries), "names")
+    near_names = cut_lineage(_near_names(names, min_rows).select(*_BLOCK, "name_a", "name_b"), "near-names")
+    a = entries.withColumnsRenamed({"name": "name_a", "customer_id": "id_a"})
+    b = entries.withColumnsRenamed({"name": "name_b", "customer_id": "id_b"})
+    across = near_names.join(a, [*_BLOCK, "name_a"]).join(b, [*_BLOCK, "name_b"])
+    same = a.withColumnRenamed("name_a", "name").join(b.withColumnRenamed("name_b", "name"), [*_BLOCK, "name"])
+    both = across.select("id_a", "id_b").unionByName(same.select("id_a", "id_b")).where("id_a <> id_b")
+    return both.select(
+        F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")
+    ).distinct()
+
+
+def one_hop(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+    """``(customer_id, golden_customer_id)`` of every customer with a contact: the smallest id among
+    the customer itself and its direct matches."""
     entries = _entries(customers)
     names = cut_lineage(_names(entries), "names")
-    small, large = _by_block_size(names, small_block, "n_names")
-    nearest = _nearest_in_small(small)
-    if large is not None:
-        nearest = nearest.unionByName(_nearest_in_large(large))
+    pairs = cut_lineage(_near_names(names, min_rows), "near-names")
+    ways = [("name_a", "id_b"), ("name_b", "id_a")]
+    others = [pairs.select(*_BLOCK, F.col(n).alias("name"), F.col(i).alias("near_id"), F.lit(0).alias("n_ids")) for n, i in ways]
+    nearest = (
+        names.select(*_BLOCK, "name", F.col("first_id").alias("near_id"), "n_ids")
+        .unionByName(others[0]).unionByName(others[1])
+        .groupBy(*_BLOCK, "name")
+        .agg(F.min("near_id").alias("near_id"), F.sum("n_ids").alias("n_ids"))
+    )
     return (
-        entries.join(nearest, [*_BLOCK, "name"])
+        lookup_join(entries, nearest, [*_BLOCK, "name"], "n_ids", min_rows)
         .groupBy("customer_id")
         .agg(F.min("near_id").alias("golden_customer_id"))
     )
 
 
-def match_edges(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFrame:
+def match_edges(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """A set of edges ``(u, v)`` that connects exactly what the matching pairs connect.
 
-    Customers of one block and name form a star around the smallest id, and so do the near names
-    of a signature in a large block: no more edges than customers and signatures. In a small block
-    every two near names are an edge.
+    Customers of one block and name form a star around the smallest id; two near names are one
+    edge between their smallest ids, however many customers bear them.
     """
     entries = _entries(customers)
     names = cut_lineage(_names(entries), "names")
-    small, large = _by_block_size(names, small_block, "n_names")
-
-    copies = entries.join(names.where("n_ids > 1"), [*_BLOCK, "name"]).select(
+    several = names.where("n_ids > 1")
+    copies = lookup_join(entries, several, [*_BLOCK, "name"], "n_ids", min_rows).select(
         F.col("customer_id").alias("u"), F.col("first_id").alias("v")
     )
-
-    def partners(m):
-        later = F.filter("members", lambda o: (m["id"] < o["id"]) & near(m["name"], o["name"]))
-        return F.transform(later, lambda o: F.struct(o["id"].alias("u"), m["id"].alias("v")))
-
-    within = (
-        _members(small, "first_id")
-        .select(F.explode(F.flatten(F.transform("members", partners))).alias("p"))
-        .select("p.u", "p.v")
-    )
-    edges = copies.unionByName(within)
-    if large is None:
-        return edges.where("u <> v")
-
-    signed, groups = _signature_groups(large)
-    met = signed.join(groups, [*_BLOCK, "sig"])
-    # Names with as many cuts as ours match each other only if twice that fits the two edits;
-    # names with fewer cuts match ours if the sum fits.
-    ok = _allowed()
-    centre = F.array_compact(F.array(*[F.when(ok(k), F.col(f"cut{k}")) for k in (0, 1, 2)]))
-    across = met.select(F.col("first_id").alias("u"), F.explode(centre).alias("v"))
-    return edges.unionByName(across).where("u <> v")
+    across = _near_names(names, min_rows).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
+    return copies.unionByName(across).where("u <> v")
 
 
-def transitive(customers: DataFrame, small_block: int = SMALL_BLOCK) -> DataFrame:
+def transitive(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """``(customer_id, golden_customer_id)`` of every matched customer: the smallest id of all
     customers reachable through matches."""
-    return connected_components(match_edges(customers, small_block)).select(
+    return connected_components(match_edges(customers, min_rows)).select(
         F.col("node").alias("customer_id"), F.col("component").alias("golden_customer_id")
     )
 
 
 def assign_golden(
-    customers: DataFrame, closure: str = "one_hop", small_block: int = SMALL_BLOCK
+    customers: DataFrame, closure: str = "one_hop", min_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``golden_customer_id``; a customer without a match keeps its own id.
 
     ``closure="one_hop"`` takes the smallest id among direct matches, ``"transitive"`` among all
     customers reachable through matches. Only ids, contacts and names are shuffled by block; the
-    full rows are joined once, by customer id.
+    full rows are joined once, by customer id. Groups of at least ``min_rows`` rows are salted.
     """
     if closure not in ("one_hop", "transitive"):
         raise ValueError("closure must be 'one_hop' or 'transitive'")
     find = one_hop if closure == "one_hop" else transitive
-    golden = find(customers, small_block)
+    golden = find(customers, min_rows)
     return customers.join(golden, "customer_id", "left").withColumn(
         "golden_customer_id", F.coalesce("golden_customer_id", "customer_id")
     )

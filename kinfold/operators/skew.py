@@ -3,30 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions import salt_of
 
-# At most this many keys are treated as hot, so every list of hot keys is small enough to
-# broadcast, whatever the size of the data. A key outside the list holds less than 1/1000 of it.
-MAX_HOT = 1000
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
-) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, at most ``max_hot`` of them, largest first."""
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key with at least ``min_rows`` rows: at most one in so many rows of ``df``."""
     return (
         df.where(_all_present(keys))
         .groupBy(*keys)
         .agg(F.count("*").alias("n_rows"))
         .where(F.col("n_rows") >= min_rows)
-        .orderBy(F.desc("n_rows"), *keys)
-        .limit(max_hot)
     )
 
 
@@ -37,7 +29,6 @@ def salted_join(
     n_salts: int = 8,
     how: str = "left",
     min_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """``one.join(many, keys, how)`` for inner and left, spreading hot keys of ``many``.
 
@@ -47,23 +38,27 @@ def salted_join(
     a partner under some salt, or it would not be hot. Equal rows of ``many`` get equal salts.
 
     ``many`` is read twice, the first time only its keys, to count them; a costly one should be
-    stored before.
+    stored before. Whether the hot keys are broadcast is left to Spark, which knows their size.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports 'inner' and 'left'")
-    hot = F.broadcast(
-        hot_keys(many, keys, min_rows, max_hot).select(*keys, F.lit(True).alias("_hot"))
-    )
+    return _salted(one, many, keys, hot_keys(many, keys, min_rows).select(*keys), n_salts, how)
+
+
+def _salted(
+    one: DataFrame, many: DataFrame, keys: list[str], hot: DataFrame, n_salts: int, how: str
+) -> DataFrame:
+    flagged = hot.withColumn("_hot", F.lit(True))
     content = [c for c, t in many.dtypes if "map<" not in t and "variant" not in t]
     spread = (
-        many.join(hot, keys, "left")
+        many.join(flagged, keys, "left")
         .withColumn("_salt", F.when(F.col("_hot"), salt_of(n_salts, *content)).otherwise(0))
         .withColumn("_matched", F.lit(True))
         .drop("_hot")
     )
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n_salts - 1)))
-    copies = one.join(hot, keys, "left").withColumn(
+    copies = one.join(flagged, keys, "left").withColumn(
         "_salt", F.explode(salts.otherwise(F.array(F.lit(0))))
     )
     joined = copies.join(spread, [*keys, "_salt"], how)
@@ -78,22 +73,16 @@ def lookup_join(
     keys: Sequence[str],
     weight: str,
     min_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
+    n_salts: int = 8,
 ) -> DataFrame:
     """Inner join of ``many`` with ``one``, which has one row per key and, in the column
     ``weight``, the number of rows ``many`` has under it.
 
-    The heaviest keys are joined by broadcasting their rows of ``one``, at most ``max_hot``; the
-    rest is shuffled, and no key of the rest is heavy.
+    The weight tells the hot keys without counting; their rows are spread as in ``salted_join``.
     """
     keys = list(keys)
-    hot = (
-        one.where(F.col(weight) >= min_rows).orderBy(F.desc(weight), *keys).limit(max_hot)
-    )
-    heavy = many.join(F.broadcast(hot), keys)
-    flag = F.broadcast(hot.select(*keys))
-    rest = many.join(flag, keys, "left_anti").join(one.join(flag, keys, "left_anti"), keys)
-    return heavy.unionByName(rest)
+    hot = one.where(F.col(weight) >= min_rows).select(*keys)
+    return _salted(one, many, keys, hot, n_salts, "inner")
 
 
 def two_stage_agg(
@@ -104,25 +93,41 @@ def two_stage_agg(
     distinct: Mapping[str, Column] | None = None,
     n_salts: int = 8,
 ) -> DataFrame:
-    """Aggregate by key and salt first, then by key.
+    """Aggregate by key and salt first, then by key, reading ``df`` once.
 
-    Sums and counts need no salt, as Spark adds them up before the shuffle; counting the distinct
-    values of a hot key does. The salt is taken from the counted values, so each value is counted
-    under one salt only and the partial counts add up.
+    Sums and counts are added up before the shuffle by Spark itself; counting the distinct values
+    of a hot key needs the salt, which is taken from the counted value, so that each value is
+    counted under one salt only and the partial counts add up. With several distinct counts every
+    row stands once for each of them, with one of the values.
     """
     keys = list(keys)
     sums, counts, distinct = dict(sums or {}), dict(counts or {}), dict(distinct or {})
+    if not (sums or counts or distinct):
+        raise ValueError("nothing to aggregate")
     plain = [F.sum(e).alias(a) for a, e in sums.items()]
     plain += [F.count(e).alias(a) for a, e in counts.items()]
-    parts = [df.groupBy(*keys).agg(*plain)] if plain else []
-    for alias, value in distinct.items():
-        salted = df.select(*keys, value.alias("_value")).withColumn("_salt", salt_of(n_salts, "_value"))
-        per_salt = salted.groupBy(*keys, "_salt").agg(F.count_distinct("_value").alias(alias))
-        parts.append(per_salt.drop("_salt"))
-    if not parts:
-        raise ValueError("nothing to aggregate")
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return together.groupBy(*keys).agg(*[F.sum(a).alias(a) for a in (*sums, *counts, *distinct)])
+    if not distinct:
+        return df.groupBy(*keys).agg(*plain)
+    kind = {a: df.select(e.alias(a)).schema[a].dataType for a, e in distinct.items()}
+    names = list(distinct)
+    turns = F.explode(F.array(*[
+        F.struct(
+            F.lit(i).alias("turn"),
+            *[(e if a == b else F.lit(None).cast(kind[b])).alias(b) for b, e in distinct.items()],
+        )
+        for i, a in enumerate(names)
+    ]))
+    # Sums and counts are taken from the first of a row's copies.
+    inputs = {**sums, **counts}
+    rows = df.select(*keys, *[e.alias(f"_in_{a}") for a, e in inputs.items()], turns.alias("_t"))
+    first = F.col("_t.turn") == 0
+    salted = rows.withColumn("_salt", salt_of(n_salts, *[F.col(f"_t.{a}") for a in names]))
+    per_salt = salted.groupBy(*keys, "_salt").agg(
+        *[F.sum(F.when(first, F.col(f"_in_{a}"))).alias(a) for a in sums],
+        *[F.count(F.when(first, F.col(f"_in_{a}"))).alias(a) for a in counts],
+        *[F.count_distinct(F.col(f"_t.{a}")).alias(a) for a in names],
+    )
+    return per_salt.groupBy(*keys).agg(*[F.sum(a).alias(a) for a in (*sums, *counts, *names)])
 
 
 def _all_present(keys: Sequence[str]) -> Column:

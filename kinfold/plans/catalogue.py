@@ -20,7 +20,7 @@ from kinfold.sources.files import (
 )
 from kinfold.sources.scratch import cut_lineage, scratch_path
 from kinfold.sources.tables import read_table, replace_in_table, upsert_table, write_table
-from kinfold.streaming import dedup_stream, ingest, read_lines, staged
+from kinfold.streaming import dedup_stream, ingest, quarantine_stream, read_lines, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -213,9 +213,9 @@ def stream_dedup_global(spark, sf_dir):
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
     out = scratch_path(spark, "staging")
     ingest(
-        twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days", date_unit="month"
+        twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days"
     ).awaitTermination()
-    return _ntz(staged(spark, out).drop("event_date"))
+    return _ntz(staged(spark, out).drop("arrived_at", "arrived_on"))
 
 
 @query(_with(_EVENTS, select="select event_id, event_time, op_type, user_id, value, props from changes"))
@@ -225,9 +225,8 @@ def stream_dedup_within_watermark(spark, sf_dir):
     out = scratch_path(spark, "staging")
     ingest(
         twice, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days", "within_watermark",
-        date_unit="month",
     ).awaitTermination()
-    return _ntz(staged(spark, out).drop("event_date"))
+    return _ntz(staged(spark, out).drop("arrived_at", "arrived_on"))
 
 
 @query(
@@ -239,7 +238,7 @@ where op_type <> 'DELETE'
     )
 )
 def stream_late_rows(spark, sf_dir):
-    """Three files read one by one: updates, inserts, deletes.
+    """Three sets of files read one after the other: updates, inserts, deletes.
 
     Spark drops late rows by the bound that the batch before last has set, so the inserts all
     pass, and the deletes that are more than ten days behind the newest update are late.
@@ -247,13 +246,36 @@ def stream_late_rows(spark, sf_dir):
     e = roles.events(spark, sf_dir)
     lines = scratch_path(spark, "lines")
     for op in ("UPDATE", "INSERT", "DELETE"):
-        to_cdc(e.where(F.col("op_type") == op)).coalesce(1).write.mode("append").text(lines)
+        to_cdc(e.where(F.col("op_type") == op)).repartition(4).write.mode("append").text(lines)
     out = scratch_path(spark, "staging")
     ingest(
-        read_lines(spark, lines, files_per_trigger=1), roles.EVENT, out,
-        scratch_path(spark, "offsets"), "10 days", date_unit="month",
+        read_lines(spark, lines, files_per_trigger=4), roles.EVENT, out,
+        scratch_path(spark, "offsets"), "10 days",
     ).awaitTermination()
-    return _ntz(staged(spark, out).drop("event_date"))
+    return _ntz(staged(spark, out).drop("arrived_at", "arrived_on"))
+
+
+@query(
+    """select count(*) as lines, count(*) filter (event_type <> 'error') as staged,
+  count(*) filter (event_type = 'error') as quarantined from events"""
+)
+def ingest_quarantined(spark, sf_dir):
+    """Every line of a topic is staged or put aside."""
+    lines, out, aside = (scratch_path(spark, n) for n in ("lines", "staging", "quarantine"))
+    _with_broken(spark, sf_dir).write.text(lines)
+    topic = read_lines(spark, lines)
+    ingest(topic, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days").awaitTermination()
+    quarantine_stream(topic, roles.EVENT, aside, scratch_path(spark, "offsets")).awaitTermination()
+    counts = [
+        spark.read.text(lines).agg(F.count("*").alias("lines")),
+        staged(spark, out).agg(F.count("*").alias("staged")),
+        spark.read.parquet(aside).agg(F.count("*").alias("quarantined")),
+    ]
+    # Three rows of one number each, brought into one row.
+    rows = counts[0]
+    for c in counts[1:]:
+        rows = rows.unionByName(c, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in ("lines", "staged", "quarantined")])
 
 
 @query(_with(_CUSTOMERS, select="select * from customers"))
@@ -322,8 +344,8 @@ def golden_one_hop(spark, sf_dir):
 
 @query(_with(*_UP_TO_GOLDEN, select="select customer_id, golden_customer_id from golden"))
 def golden_one_hop_large_blocks(spark, sf_dir):
-    """The same through name signatures for every shared contact, whatever its size."""
-    golden = match.assign_golden(roles.customers(spark, sf_dir), small_block=0)
+    """The same with every piece of a name that two names share treated as hot."""
+    golden = match.assign_golden(roles.customers(spark, sf_dir), min_rows=2)
     return golden.select("customer_id", "golden_customer_id")
 
 
@@ -359,7 +381,8 @@ def _account_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _profiles(spark: SparkSession, sf_dir: str, by: str = "customer_id") -> DataFrame:
     return consolidate.customer_profile(
-        _golden_customers(spark, sf_dir), _account_facts(spark, sf_dir), roles.loans(spark, sf_dir), by=by
+        _golden_customers(spark, sf_dir), _account_facts(spark, sf_dir), roles.loans(spark, sf_dir), by=by,
+        money_scale=2,
     )
 
 
@@ -369,30 +392,38 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         roles.customers(spark, sf_dir), {"golden_customer_id": F.col("customer_id")}
     )
     profiles = consolidate.customer_profile(
-        customers, _account_facts(spark, sf_dir), roles.loans(spark, sf_dir)
+        customers, _account_facts(spark, sf_dir), roles.loans(spark, sf_dir), money_scale=2
     )
     return segment.assign_segment(profiles, roles.THRESHOLDS)
 
 
+_BARE = """bare_customers as (
+  select * from customers union all
+  select 'BARE-' || customer_id, first_name, last_name, null, null, address, city, state, country from customers)"""
 _RESOLVED_SELECT = """select c.customer_id, golden_customer_id, first_name, last_name, email, phone, address, city,
   state, country, account_id, account_type, balance, a.status as account_status,
   loan_id, loan_type, loan_amount, emi_amount, loan_status
-from customers c join golden using (customer_id)
-left join (select * from accounts where status <> 'BLOCKED' and account_type = '1-URGENT') a
-  on c.customer_id = a.customer_id
-left join (select * from loans where loan_status = 'DELINQUENT') l on c.customer_id = l.customer_id"""
+from (select c.*, coalesce(golden_customer_id, c.customer_id) as golden_customer_id
+      from bare_customers c left join golden g on c.customer_id = g.customer_id) c
+left join accounts a on c.customer_id = a.customer_id
+left join loans l on c.customer_id = l.customer_id"""
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Urgent, unblocked accounts and delinquent loans, so that some customers have none."""
-    accounts = roles.accounts(spark, sf_dir).where("status <> 'BLOCKED' and account_type = '1-URGENT'")
-    loans = cut_lineage(roles.loans(spark, sf_dir).where("loan_status = 'DELINQUENT'"), "loans")
+    """All accounts and loans, and beside every customer one more that has neither, and no contact."""
+    customers = _golden_customers(spark, sf_dir)
+    ident = F.concat(F.lit("BARE-"), F.col("customer_id"))
+    none = F.lit(None).cast("string")
+    bare = customers.withColumns(
+        {"customer_id": ident, "golden_customer_id": ident, "email": none, "phone": none}
+    )
+    loans = cut_lineage(roles.loans(spark, sf_dir), "loans")
     return consolidate.resolved_rows(
-        _golden_customers(spark, sf_dir), accounts, loans, min_rows=4
+        customers.unionByName(bare), roles.accounts(spark, sf_dir), loans, min_rows=4
     )
 
 
-@query(_with(*_UP_TO_GOLDEN, _ACCOUNTS, _LOANS, select=_RESOLVED_SELECT))
+@query(_with(*_UP_TO_GOLDEN, _ACCOUNTS, _LOANS, _BARE, select=_RESOLVED_SELECT))
 def resolved_rows(spark, sf_dir):
     return _resolved(spark, sf_dir).drop("resolved_at")
 
@@ -412,24 +443,65 @@ def customer_profile_by_golden(spark, sf_dir):
     return _profiles(spark, sf_dir, by="golden_customer_id").drop("updated_at")
 
 
+# Sixteenths of a unit have four decimals, and are added exactly by both sides.
+_FINE = "floor({} * 16) / 16"
+_FINE_METRICS = (
+    _METRICS.replace(_MONEY.format("balance"), f"coalesce(sum({_FINE.format('balance')}), 0.0)")
+    .replace(_MONEY.format("loan_amount"), f"coalesce(sum({_FINE.format('loan_amount')}), 0.0)")
+)
+
+
+def _fine_profiles(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
+    accounts = _account_facts(spark, sf_dir).withColumn("balance", F.expr(_FINE.format("balance")))
+    loans = roles.loans(spark, sf_dir).withColumn("loan_amount", F.expr(_FINE.format("loan_amount")))
+    return consolidate.customer_profile(_golden_customers(spark, sf_dir), accounts, loans, by=by).drop("updated_at")
+
+
 @query(
     _with(
-        *_UP_TO_GOLDEN,
-        _ACCOUNTS.replace("accounts as", "all_accounts as"),
-        "accounts as (select * from all_accounts where status <> 'BLOCKED' and account_type = '1-URGENT')",
-        _LOANS.replace("loans as (", "all_loans as ("),
-        "loans as (select * from all_loans where loan_status = 'DELINQUENT')",
-        _METRICS.format(key="customer_id"), _PROFILE,
+        *_UP_TO_GOLDEN, _ACCOUNTS, _LOANS, _FINE_METRICS.format(key="customer_id"), _PROFILE,
         select=f"select {_PROFILE_OUT} from profile",
     )
 )
+def customer_profile_fine_amounts(spark, sf_dir):
+    """Amounts with four decimals, added as they are."""
+    return _fine_profiles(spark, sf_dir, "customer_id")
+
+
+@query(
+    _with(
+        *_UP_TO_GOLDEN, _ACCOUNTS, _LOANS, _FINE_METRICS.format(key="golden_customer_id"), _PROFILE,
+        select=f"select {_PROFILE_OUT} from profile where customer_id in (select golden_customer_id from golden)",
+    )
+)
+def customer_profile_by_golden_fine_amounts(spark, sf_dir):
+    return _fine_profiles(spark, sf_dir, "golden_customer_id")
+
+
+@query(
+    _with(
+        *_UP_TO_PROFILE, _BARE,
+        "bare as (select * from bare_customers where customer_id like 'BARE-%')",
+        select=f"""select {_PROFILE_OUT} from profile union all
+select {_PROFILE_OUT} from (select *, customer_id as golden_customer_id, cast(0 as bigint) as account_count,
+  cast(0 as bigint) as loan_count, cast(0 as double) as total_balance, cast(0 as bigint) as active_account_count,
+  cast(0 as double) as total_loan_amount, cast(0 as bigint) as active_loan_count,
+  cast(0 as bigint) as delinquent_loan_count, cast(0 as bigint) as closed_loan_count from bare)""",
+    )
+)
 def profile_from_resolved(spark, sf_dir):
     """The profile from the stored flat table, where accounts and loans multiply."""
     resolved = cut_lineage(_resolved(spark, sf_dir), "resolved")
-    return consolidate.profile_from_resolved(resolved).drop("updated_at")
+    return consolidate.profile_from_resolved(resolved, money_scale=2).drop("updated_at")
 
 
-@query(_with(*_UP_TO_GOLDEN, select=f"select {', '.join(PROFILE_COLUMNS)} from customers join golden using (customer_id)"))
+@query(
+    _with(
+        *_UP_TO_GOLDEN, _BARE,
+        select=f"""select {', '.join(PROFILE_COLUMNS)} from (select c.*, coalesce(golden_customer_id, c.customer_id)
+  as golden_customer_id from bare_customers c left join golden g on c.customer_id = g.customer_id)""",
+    )
+)
 def distinct_profiles(spark, sf_dir):
     return consolidate.distinct_profiles(_resolved(spark, sf_dir))
 
@@ -474,12 +546,12 @@ _KPIS = f"""select count(distinct customer_id) as customers, {_MONEY.format('tot
 
 @query(_with(*_UP_TO_SEGMENTS, select=_KPIS))
 def kpis(spark, sf_dir):
-    return segment.kpis(_segments(spark, sf_dir))
+    return segment.kpis(_segments(spark, sf_dir), money_scale=2)
 
 
 @query(_with(*_UP_TO_SEGMENTS, select=_KPIS + " where segment = 'Gold' and state = 'NATION_3'"))
 def kpis_filtered(spark, sf_dir):
-    return segment.kpis(segment.only(_segments(spark, sf_dir), "Gold", "NATION_3"))
+    return segment.kpis(segment.only(_segments(spark, sf_dir), "Gold", "NATION_3"), money_scale=2)
 
 
 @query(
@@ -601,15 +673,21 @@ def changed_since_lookback(spark, sf_dir):
 
 @query(
     _with(
-        _ACCOUNTS, _LOANS,
+        _CUSTOMERS, _ACCOUNTS, _LOANS,
         select=f"""select customer_id from accounts where event_time > timestamp '{_SINCE}'
-union select customer_id from versions where event_time > timestamp '{_SINCE}'""",
+union select customer_id from versions where event_time > timestamp '{_SINCE}'
+union select customer_id from customers
+where timestamp '1992-01-01' + to_days(cast(cast(right(customer_id, 10) as bigint) % 3650 as integer)) > timestamp '{_SINCE}'""",
     )
 )
 def affected_keys(spark, sf_dir):
+    customers = roles.customers(spark, sf_dir).select("customer_id").withColumn(
+        "event_time",
+        F.timestamp_add("DAY", F.expr("cast(right(customer_id, 10) as bigint) % 3650"), F.lit("1992-01-01").cast("timestamp_ntz")),
+    )
     changes = [
         incremental.changed_since(df, "event_time", _SINCE)
-        for df in (roles.accounts(spark, sf_dir), roles.loan_versions(spark, sf_dir))
+        for df in (customers, roles.accounts(spark, sf_dir), roles.loan_versions(spark, sf_dir))
     ]
     return incremental.affected_keys(changes, "customer_id")
 
@@ -725,16 +803,16 @@ def append_new_columns(spark, sf_dir):
 
 @query(_with(_LOANS, select="select * from loans"))
 def stored_upsert(spark, sf_dir):
-    """``upsert`` through a stored table: two snapshots, the second of changed buckets only."""
+    """``upsert`` through a stored table: two runs, the second of changed rows only."""
     versions = roles.loan_versions(spark, sf_dir)
     ties = ["l_partkey", "l_suppkey"]
     day = F.lit(_SINCE).cast("timestamp_ntz")
     path = scratch_path(spark, "loans")
     base = latest_per_key(versions.where(F.col("event_time") <= day), "loan_id", "event_time", ties)
-    write_table(base, path, "loan_id", buckets=8)
+    write_table(base, path, "loan_id")
     later = incremental.changed_since(versions, "event_time", _SINCE)
-    upsert_table(latest_per_key(later, "loan_id", "event_time", ties), path, "loan_id", buckets=8)
-    return read_table(spark, path).drop(*ties)
+    upsert_table(latest_per_key(later, "loan_id", "event_time", ties), path, "loan_id")
+    return read_table(spark, path, "loan_id").drop(*ties)
 
 
 @query(
@@ -748,17 +826,18 @@ where customer_id in (select customer_id from touched) and status <> 'BLOCKED'""
     )
 )
 def stored_replace(spark, sf_dir):
-    """``replace_by_keys`` through a stored table, with a column the first snapshot lacked."""
+    """``replace_by_keys`` through a stored table, with a column the first run lacked."""
     base, now = _before_and_after(spark, sf_dir)
     path = scratch_path(spark, "accounts")
-    write_table(base, path, "customer_id", buckets=8)
+    write_table(base, path, "account_id")
     new = incremental.changed_since(now, "event_time", _SINCE).where("account_type = '1-URGENT'")
     touched = incremental.affected_keys([new], "customer_id")
     fresh = merge.restrict_to(now.where("status <> 'BLOCKED'"), touched, "customer_id")
     replace_in_table(
-        fresh.withColumn("refreshed", F.lit(True)), touched, path, "customer_id", buckets=8
+        fresh.withColumn("refreshed", F.lit(True)), merge.restrict_to(now, touched, "customer_id"),
+        path, "account_id",
     )
-    return read_table(spark, path).withColumn("refreshed", F.coalesce("refreshed", F.lit(False)))
+    return read_table(spark, path, "account_id").withColumn("refreshed", F.coalesce("refreshed", F.lit(False)))
 
 
 def _waves(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFrame]]:
@@ -801,7 +880,7 @@ def _waves(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFrame]]:
 def _refreshed(spark: SparkSession, sf_dir: str, closure: str = "one_hop") -> jobs.Settings:
     """Ingest both waves and run all jobs after each."""
     s = jobs.Settings(
-        scratch_path(spark, "bank"), lateness="36500 days", date_unit="year", buckets=8,
+        scratch_path(spark, "bank"), lateness="36500 days", money_scale=2,
         closure=closure, thresholds=tuple(roles.THRESHOLDS),
     )
     waves = _waves(spark, sf_dir)
@@ -836,24 +915,40 @@ def incremental_segments_transitive(spark, sf_dir):
     return jobs.segment_table(spark, s).join(golden, "customer_id")
 
 
+@query(_with(*_UP_TO_PROFILE, select=f"select {_PROFILE_OUT} from profile"))
+def incremental_lagging_topic(spark, sf_dir):
+    """Profiles after a run that saw no accounts yet; these are older than what it saw."""
+    s = jobs.Settings(
+        scratch_path(spark, "bank"), lateness="36500 days", money_scale=2, thresholds=tuple(roles.THRESHOLDS)
+    )
+    waves = _waves(spark, sf_dir)
+    for topics in (("customers", "loans"), ("accounts",)):
+        for entity in topics:
+            for part in waves[entity]:
+                lines = f"{s.base}/lines/{entity}"
+                part.write.mode("append").text(lines)
+                jobs.ingest(read_lines(spark, lines), entity, s).awaitTermination()
+        jobs.resolve(spark, s)
+        jobs.consolidate(spark, s)
+    return jobs.profile_table(spark, s).drop("updated_at")
+
+
 # --- skew ----------------------------------------------------------------------------------
 
 
 @query(
     _with(
-        _CUSTOMERS, _ACCOUNTS,
-        select="""select c.customer_id, state, account_id, balance from customers c
-left join (select * from accounts where status = 'BLOCKED' and account_type = '1-URGENT') a
-  on c.customer_id = a.customer_id""",
+        _CUSTOMERS, _ACCOUNTS, _BARE,
+        select="""select c.customer_id, state, account_id, balance from bare_customers c
+left join accounts a on c.customer_id = a.customer_id""",
     )
 )
 def salted_join(spark, sf_dir):
-    """Customers with three or more such accounts are treated as hot; many have none."""
-    a = roles.accounts(spark, sf_dir).where("status = 'BLOCKED' and account_type = '1-URGENT'")
+    """Customers with three or more accounts are treated as hot; as many others have none."""
+    a = roles.accounts(spark, sf_dir).select("customer_id", "account_id", "balance")
     c = roles.customers(spark, sf_dir).select("customer_id", "state")
-    return skew.salted_join(
-        c, a.select("customer_id", "account_id", "balance"), "customer_id", min_rows=3
-    )
+    bare = c.withColumn("customer_id", F.concat(F.lit("BARE-"), F.col("customer_id")))
+    return skew.salted_join(c.unionByName(bare), a, "customer_id", min_rows=3)
 
 
 @query(
@@ -880,7 +975,7 @@ def two_stage_agg(spark, sf_dir):
     _with(
         _ACCOUNTS,
         select="""select customer_id, count(*) as n_rows from accounts group by 1
-having count(*) >= 15 order by 2 desc, 1 limit 1000""",
+having count(*) >= 15""",
     )
 )
 def hot_keys(spark, sf_dir):

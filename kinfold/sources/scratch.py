@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a temporary folder; on a cluster it must be set, as a
-    folder of one machine is lost to the others.
+    Where it is unset, a local session uses ``checkpoints`` in its warehouse folder; on a cluster it must be
+    set, as a folder of one machine is lost to the others.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="kinfold-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "checkpoints")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -31,8 +29,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    What follows no longer depends on the executors that computed ``df``, and sees its true size.
+    What follows no longer depends on the executors that computed ``df``, and sees its true size. The
+    files stay for as long as a result may be read; ``clean`` removes those of a session.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.setdefault(id(df.sparkSession.sparkContext), []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: The intermediate tables of each Spark context of this process.
+_written: dict[int, list[str]] = {}
+
+
+def mark(spark: SparkSession) -> int:
+    """How many intermediate tables there are now; ``clean`` can remove those that came after."""
+    return len(_written.get(id(spark.sparkContext), []))
+
+
+def clean(spark: SparkSession, after: int = 0) -> None:
+    """Remove the intermediate tables written since ``after``. No DataFrame made from one may be read
+    any more, so a job calls it when its tables are written."""
+    paths = _written.get(id(spark.sparkContext), [])
+    for path in paths[after:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del paths[after:]

@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinfold.operators import consolidate, match
@@ -13,6 +15,7 @@ from kinfold.operators.quality import QualityError
 from kinfold.operators.segment import assign_segment
 from kinfold.plans import jobs
 from kinfold.schemas import METRIC_COLUMNS, PROFILE_COLUMNS
+from kinfold.sources import scratch
 from kinfold.streaming import read_lines
 
 START = datetime(2026, 1, 1)
@@ -23,7 +26,7 @@ class Bank:
 
     def __init__(self, spark, folder, seed=0, **settings):
         self.spark, self.folder, self.r, self.clock, self.n = spark, folder, random.Random(seed), START, 0
-        self.s = jobs.Settings(folder + "/bank", lateness="3650 days", date_unit="month", buckets=4, **settings)
+        self.s = jobs.Settings(folder + "/bank", lateness="3650 days", **settings)
 
     def event(self, entity, payload):
         self.clock += timedelta(seconds=self.r.randint(1, 50))
@@ -74,7 +77,7 @@ class Bank:
     def full(self):
         """Profiles computed at once from all of staging."""
         latest = {
-            e: latest_per_key(jobs.staging(self.spark, e, self.s).drop("event_date"), key)
+            e: latest_per_key(jobs.staging(self.spark, e, self.s).drop("arrived_at", "arrived_on"), key)
             for e, (key, _) in jobs.ENTITIES.items()
         }
         golden = match.assign_golden(latest["customers"], self.s.closure)
@@ -102,6 +105,22 @@ def test_incremental_equals_full(spark, folder, closure):
     assert all(o.skipped for o in again) and [o.run for o in again] == [2, 2, 2]
 
 
+def test_a_run_writes_what_changed(spark, folder):
+    bank = Bank(spark, folder, seed=9)
+    bank.ingest([bank.customer(i) for i in range(300)] + [bank.account(i, i) for i in range(300)] + [bank.loan(1, 1)])
+    first = jobs.run_all(spark, bank.s)
+    assert first[0].written["customers"] == 300 and first[0].written["accounts"] == 300
+    bank.ingest([bank.account(5, 7), bank.account(8, 8)])
+    second = jobs.run_all(spark, bank.s)
+    # The account moved from 5 to 7; 8 stayed.
+    assert second[0].written == {"accounts": 2, "resolved": 3}
+    assert second[1].written == {"profiles": 3} and second[2].written == {"segments": 3}
+    assert sum(second[2].segments.values()) == 3
+    for table in ("resolved", "profiles", "segments"):
+        assert spark.read.parquet(f"{bank.s.table(table)}/run=2").count() == 3
+    bank.check()
+
+
 def test_moved_account_and_changed_contact(spark, folder):
     bank = Bank(spark, folder)
 
@@ -177,26 +196,93 @@ def test_watermarks(spark, folder):
     assert jobs.read_watermark(spark, path, "a") == (stamp, 4)
     assert jobs.read_watermark(spark, path, "b") == epoch
     assert jobs.read_watermark(spark, path, "c") == epoch
-    for f in os.listdir(f"{path}/buckets=1"):
-        for d, _, files in os.walk(f"{path}/buckets=1/{f}"):
-            for name in files:
-                if name.endswith(".parquet"):
-                    open(os.path.join(d, name), "wb").close()
+    for d, _, files in os.walk(f"{path}/a"):
+        for name in files:
+            if name.endswith(".parquet"):
+                open(os.path.join(d, name), "wb").close()
     with pytest.raises(Exception):
         jobs.read_watermark(spark, path, "a")
+    assert jobs.read_watermark(spark, path, "b") == epoch
 
 
 def test_nothing_ingested(spark, folder):
     s = jobs.Settings(folder + "/bank")
     assert jobs.resolve(spark, s).skipped and jobs.consolidate(spark, s).skipped
     assert jobs.segment(spark, s).skipped
+    with pytest.raises(QualityError, match="segments"):
+        jobs.segment_table(spark, s)
 
 
-def test_late_row_within_lookback(spark, folder):
-    bank = Bank(spark, folder, lookback="1 day")
+def test_late_but_accepted(spark, folder):
+    bank = Bank(spark, folder)
     bank.ingest([bank.customer(1), bank.account(1, 1), bank.loan(1, 1)])
     jobs.run_all(spark, bank.s)
     bank.clock -= timedelta(hours=2)
-    bank.ingest([bank.customer(2)])
+    bank.ingest([bank.customer(2), bank.account(2, 1)])
     jobs.run_all(spark, bank.s)
     bank.check()
+
+
+@settings(max_examples=2, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(0, 10**6), st.lists(st.sets(st.sampled_from(["customers", "accounts", "loans"]), min_size=1), min_size=2, max_size=3))
+def test_topics_may_come_in_any_order(spark, tmp_path_factory, seed, turns):
+    bank = Bank(spark, str(tmp_path_factory.mktemp("bank")), seed=seed)
+    waiting = bank.wave(12)
+    for topics in [*turns, {"customers", "accounts", "loans"}]:
+        now = [e for e in waiting if e[0] in topics]
+        waiting = [e for e in waiting if e[0] not in topics] + bank.wave(4)
+        bank.n += 1
+        bank.ingest(now)
+        jobs.resolve(spark, bank.s)
+        jobs.consolidate(spark, bank.s)
+        jobs.segment(spark, bank.s)
+    bank.check()
+
+
+def test_malformed_lines_fail_the_gate(spark, folder):
+    bank = Bank(spark, folder, seed=2)
+    bank.ingest(bank.wave(5))
+    with open(f"{folder}/in/accounts/broken.txt", "w") as f:
+        f.write("{not json\n\"neither\"")
+    jobs.ingest(read_lines(spark, f"{folder}/in/accounts"), "accounts", bank.s).awaitTermination()
+    assert jobs.quarantined(spark, "accounts", bank.s).count() == 2
+    assert jobs.staging(spark, "accounts", bank.s).count() == 5
+    with pytest.raises(QualityError, match=r"\[accounts\] malformed_lines : 2"):
+        jobs.validate(spark, bank.s)
+
+
+def test_columns_that_stored_profiles_lack(spark, folder):
+    bank = Bank(spark, folder, seed=4)
+    bank.ingest(bank.wave(10))
+    jobs.resolve(spark, bank.s)
+    jobs.consolidate(spark, bank.s)
+    path = bank.s.table("profiles")
+    old = spark.read.parquet(path).drop("run", "closed_loan_count", "city").collect()
+    kept = spark.read.parquet(path).drop("run", "closed_loan_count", "city").schema
+    spark.createDataFrame(old, kept).write.mode("overwrite").parquet(f"{path}/run=1")
+    jobs.segment(spark, bank.s)
+    got = jobs.segment_table(spark, bank.s)
+    assert got.where("closed_loan_count is null and city is null").count() == got.count() > 0
+
+
+def test_a_job_leaves_no_intermediate_tables(spark, folder):
+    bank = Bank(spark, folder, seed=6)
+    bank.ingest(bank.wave(5))
+    before = scratch.mark(spark)
+    jobs.run_all(spark, bank.s)
+    assert scratch.mark(spark) == before
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        scratch.shared_folder(Session())

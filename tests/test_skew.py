@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -52,17 +52,26 @@ def test_hot_rows_are_spread(spark):
 def test_hot_keys(spark):
     _, a = customers_and_accounts(spark, ["hot", "cold"])
     assert rows(hot_keys(a, ["k"], min_rows=100)) == [("hot", 1001)]
-    assert hot_keys(a, ["k"], min_rows=1, max_hot=2).count() == 2
 
 
-@pytest.mark.parametrize("min_rows,max_hot", [(1, 1), (5, 10), (10**6, 10)])
-def test_lookup_join_equals_join(spark, min_rows, max_hot):
+def test_more_than_a_thousand_hot_keys(spark):
+    one = spark.range(1500).select(F.col("id").cast("string").alias("k"), F.col("id").alias("name"))
+    many = spark.range(4500).select((F.col("id") % 1500).cast("string").alias("k"), F.col("id").alias("v"))
+    assert hot_keys(many, ["k"], min_rows=3).count() == 1500
+    assert rows(salted_join(one, many, "k", 4, "left", min_rows=3)) == rows(one.join(many, "k", "left"))
+    weights = many.groupBy("k").agg(F.count("*").alias("n"))
+    got = lookup_join(many, weights, ["k"], "n", min_rows=3)
+    assert rows(got.select("k", "v", "n")) == rows(many.join(weights, "k").select("k", "v", "n"))
+
+
+@pytest.mark.parametrize("min_rows", [1, 5, 10**6])
+def test_lookup_join_equals_join(spark, min_rows):
     r = random.Random(2)
     many = spark.createDataFrame(
         [(r.choice(["a"] * 5 + list("bcdef")), i) for i in range(200)], "k string, v int"
     )
     one = many.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top")).where("k <> 'f'")
-    got = lookup_join(many, one, ["k"], "n", min_rows, max_hot)
+    got = lookup_join(many, one, ["k"], "n", min_rows)
     assert rows(got.select("k", "v", "top")) == rows(many.join(one, "k").select("k", "v", "top"))
 
 
@@ -81,3 +90,9 @@ def test_two_stage_agg(spark):
         F.count_distinct("id").alias("ids"), F.count_distinct("v").alias("values"),
     )
     assert rows(got) == rows(want)
+
+
+def test_two_stage_agg_reads_once(spark):
+    df = spark.range(10).selectExpr("id % 2 as k", "id as v")
+    out = two_stage_agg(df, ["k"], {"s": F.col("v")}, {"n": F.col("v")}, {"a": F.col("v"), "b": F.col("v") % 2})
+    assert plan(out).count("Range (0, 10") == 1
