@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import fold, portions
+from kinfold.llm.common import fold, portions, small_batches
 from kinfold.sources.scratch import cut_lineage
 
 FOLDS, HELD_OUT = 7, 2
@@ -40,8 +40,10 @@ PRIOR = 200.0
 BITS, PROBES = 8, 4
 #: Keys a segment is made for, about.
 SEGMENT = 2_000_000
-#: Characters of text that are counted together.
-PORTION = 4_000_000
+#: Tokens whose pairs are added up together.
+TOGETHER = 5_000_000
+#: Characters of text that are taken apart together.
+PORTION = 2_000_000
 END, START = b" ", b"  "  # no word has a space
 
 _U = np.uint64
@@ -174,18 +176,13 @@ class Vocabulary:
         return here, np.where(here, self.counts[at], 0)
 
 
-def _texts(batch: pa.RecordBatch, name: str = "text") -> list[str | None]:
-    return batch.column(batch.schema.names.index(name)).to_pylist()
-
-
 def word_counts(train: DataFrame) -> DataFrame:
     """``(word, n)`` of all tokens; the end is the word ``END``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _texts(batch)
-            for a, b in portions(texts, PORTION):
-                tokens = Tokens(texts[a:b])
+            for _, texts in portions(batch.column(0), PORTION):
+                tokens = Tokens(texts)
                 yield pa.RecordBatch.from_arrays(
                     [tokens.words, pa.array(tokens.counts())], names=["word", "n"]
                 )
@@ -239,18 +236,27 @@ def _added_up(keys: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray,
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
+def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs and their counts, about ``TOGETHER`` tokens at a time."""
+    found, size = [], 0
+    for batch in batches:
+        for _, texts in portions(batch.column(0), PORTION):
+            tokens = Tokens(texts)
+            found.append(tokens.pairs(tokens.hashes()))
+            size += len(found[-1])
+            if size >= TOGETHER:
+                yield _added_up(np.concatenate(found), None)
+                found, size = [], 0
+    if found:
+        yield _added_up(np.concatenate(found), None)
+
+
 def pair_segments(train: DataFrame, n: int) -> DataFrame:
     """``(segment, bits)`` of pairs. Each task adds its pairs up and sends, for each segment, one row
     with all keys and counts, so few rows are shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = _texts(batch)
-            found = []
-            for a, b in portions(texts, PORTION):
-                tokens = Tokens(texts[a:b])
-                found.append(tokens.pairs(tokens.hashes()))
-            keys, number = _added_up(np.concatenate(found or [np.zeros(0, np.uint64)]), None)
+        for keys, number in _counted_pairs(batches):
             segment = (keys % _U(n)).astype(np.int32)
             order = np.argsort(segment, kind="stable")
             keys, number, segment = keys[order], number[order].astype(np.uint32), segment[order]
@@ -309,6 +315,11 @@ def _load(segments: DataFrame, some: Sequence[int]) -> dict[int, bytes]:
 def score(docs: DataFrame, id_column: str = "doc_id", max_bytes: int = MAX_BYTES, prior: float = PRIOR,
           frequent: int = FREQUENT) -> DataFrame:
     """Every document with held_out, n_tokens, n_known, train_tokens, base_score and score."""
+    with small_batches(docs.sparkSession):
+        return _score(docs, id_column, max_bytes, prior, frequent)
+
+
+def _score(docs: DataFrame, id_column: str, max_bytes: int, prior: float, frequent: int) -> DataFrame:
     spark = docs.sparkSession
     train = docs.where(fold(id_column, FOLDS) != HELD_OUT)
     counts = cut_lineage(word_counts(train), "word-counts")
@@ -380,10 +391,9 @@ def _pass(rows: DataFrame, held, groups, n: int, v: int, prior: float, common) -
         for m, g in zip(mine, groups, strict=True):
             m[g] = True
         for batch in batches:
-            texts = _texts(batch)
-            for a, b in portions(texts, PORTION):
-                tokens = Tokens(texts[a:b])
-                size = b - a
+            for a, texts in portions(batch.column(3), PORTION):
+                tokens = Tokens(texts)
+                size = len(texts)
                 score = np.zeros(len(tokens.ids))
                 hashes = tokens.hashes()
                 before, pair = tokens.before(), tokens.pairs(hashes)
@@ -406,7 +416,7 @@ def _pass(rows: DataFrame, held, groups, n: int, v: int, prior: float, common) -
                     known = tokens.per_text(is_common[tokens.ids].astype(np.int64))
                     rare = _rare(tokens, is_common, size)
                 keep = [batch.column(k).slice(a, size) for k in range(3)]
-                digests = [xxhash.xxh128_digest((t or "").encode()) for t in texts[a:b]]
+                digests = [xxhash.xxh128_digest((t or "").encode()) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *keep, pa.array(digests, pa.binary()), pa.array(tokens.sizes), pa.array(known),

@@ -6,9 +6,11 @@ import io
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,18 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(store(spark, name, packed.getvalue()))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Rows reach the Python workers in smaller batches for as long as this lasts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,16 +68,16 @@ def fold(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def portions(texts: Sequence[str | None], size: int = PORTION) -> Iterator[tuple[int, int]]:
-    """Index ranges of ``texts`` that hold about ``size`` characters each; a NULL is empty."""
+def portions(column: pa.Array, size: int = PORTION) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of a batch, about ``size`` characters at a time, with the row of the first of them.
+    Only these become Python strings at once."""
+    lengths = pc.utf8_length(column).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
-        if total >= size:
-            yield start, i + 1
+    for i, n in enumerate(lengths.tolist()):
+        total += n
+        if total >= size or i == len(lengths) - 1:
+            yield start, column.slice(start, i + 1 - start).to_pylist()
             start, total = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
 
 
 def map_texts(
@@ -86,10 +100,9 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in portions(texts):
-                new = apply([t or "" for t in texts[a:b]])
-                old = [batch.column(k).slice(a, b - a) for k in range(batch.num_columns - 1)]
+            for a, texts in portions(batch.column(batch.num_columns - 1)):
+                new = apply([t or "" for t in texts])
+                old = [batch.column(k).slice(a, len(texts)) for k in range(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [*old, *(c if isinstance(c, pa.Array) else pa.array(c) for c in new)],
                     names=[*batch.schema.names[:-1], *names],
@@ -107,9 +120,9 @@ def filter_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for a, b in portions(texts):
-                yield batch.slice(a, b - a).filter(pa.array(apply([t or "" for t in texts[a:b]]), pa.bool_()))
+            for a, texts in portions(batch.column(at)):
+                stay = pa.array(apply([t or "" for t in texts]), pa.bool_())
+                yield batch.slice(a, len(texts)).filter(stay)
 
     at = docs.columns.index("text")
     return docs.mapInArrow(run, docs.schema)
