@@ -7,15 +7,17 @@ few dozen strings in one row:
 
 1. hashes of anchors are counted; a filter of bounded size keeps those met twice (a false hit costs
    time only);
-2. fragments with such anchors are grouped by their bytes: all but the first of equal fragments are
-   repeated whole;
-3. different fragments with the same anchor are compared by a run-length index (``run_index``). They are ranked by
-   where they first occur. For each bit of the rank, the fragments that have it set are streamed
-   against an index of those that have not, and that agree in all higher bits; so each is compared with all
-   earlier ones. A match of ``LENGTH`` or more marks a repeated string;
+2. fragments with such anchors are grouped by a 128-bit hash: all but the first of equal fragments
+   are repeated whole;
+3. different fragments with the same anchor are fetched, each from where it occurs first, and compared by a
+   run-length index (``run_index``). They are ranked by where they first occur. For each bit of the rank,
+   the fragments that have it set are streamed against an index of those that have not, and that agree in
+   all higher bits; so each is compared with all earlier ones. A match of ``LENGTH`` or more marks a
+   repeated string;
 4. an anchor with more than ``CAP`` different fragments is compared string by string, by their MD5 digests, in Spark.
 
-Fragments with one anchor never meet in one task unless they are different and at most ``CAP``.
+Fragments with one anchor never meet in one task unless they are different and at most ``CAP``. Texts are
+read again for each step rather than kept, and only those with a repeated string are shuffled.
 
 Defined results: a NULL text is empty; documents are ordered by id, a NULL id last, then by a hash of the
 text; of rows equal in id and text one, it does not matter which, is the first and the others are copies
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +51,7 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _KEY = ["_null", "_id", "_dg"]
+_SAME = ["h", "off", "n", "x"]
 
 
 class _Powers:
@@ -130,81 +134,112 @@ class Fragments:
 def _keyed(docs: DataFrame, id_column: str) -> DataFrame:
     return docs.select(
         F.col(id_column).isNull().alias("_null"), F.col(id_column).alias("_id"),
-        F.xxhash64("text").alias("_dg"), F.coalesce("text", F.lit("")).alias("text"),
+        F.hash("text").alias("_dg"), F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
 def repeated_anchors(keyed: DataFrame) -> DataFrame:
-    """``(h, n)`` of the anchors met twice or more."""
+    """``h`` of the anchors met twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            found = []
-            for a, b in portions(texts):
-                found.append(Fragments([t.encode() for t in texts[a:b]]).hash)
+            found = [Fragments([t.encode() for t in texts]).hash for _, texts in portions(batch.column(0))]
             h, n = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(n, pa.int64())], names=["h", "n"])
 
     return (
         keyed.select("text").mapInArrow(run, "h bigint, n bigint")
-        .groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+        .groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     )
 
 
-def _filter(anchors: DataFrame):
-    """A broadcast filter of the anchors; ``FILTER`` bytes at most, whatever their number."""
-    n = 1 + anchors.count() // SEGMENT
-    n = min(n, FILTER // 4096)
+def _place_key(h: np.ndarray, dg: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """One number for an anchor and the place of its fragment."""
+    place = dg.astype(np.int64).view(np.uint64) * _U(_BASE) + start.astype(np.int64).view(np.uint64)
+    return _mix(_mix(place) ^ h.view(np.uint64))
+
+
+def _filter(keys: DataFrame):
+    """A broadcast filter of the column ``key``; ``FILTER`` bytes at most, whatever the number of rows."""
+    n = min(1 + keys.count() // SEGMENT, FILTER // 4096)
     most = FILTER // n
 
     def build(group: pa.Table) -> pa.Table:
-        keys = group["h"].to_numpy().view(np.uint64)
+        held = group["key"].to_numpy().view(np.uint64)
         return pa.table({
-            "segment": pa.array([int(keys[0] % _U(n))], pa.int32()),
-            "bits": pa.array([make_segment(keys, np.ones(len(keys), np.int64), most)], pa.binary()),
+            "segment": pa.array([int(held[0] % _U(n))], pa.int32()),
+            "bits": pa.array([make_segment(held, np.ones(len(held), np.int64), most)], pa.binary()),
         })
 
-    unsigned = F.pmod(F.pmod(F.col("h"), F.lit(n)) + F.when(F.col("h") < 0, F.lit((1 << 64) % n)).otherwise(0), F.lit(n))
+    # The remainder of the number read as unsigned.
+    unsigned = F.pmod(F.pmod(F.col("key"), F.lit(n)) + F.when(F.col("key") < 0, F.lit((1 << 64) % n)).otherwise(0), F.lit(n))
     rows = (
-        anchors.withColumn("segment", unsigned.cast("int")).select("segment", "h")
+        keys.withColumn("segment", unsigned.cast("int")).select("segment", "key")
         .groupBy("segment").applyInArrow(build, "segment int, bits binary").collect()
     )
     held = Filter(n, {r.segment: bytes(r.bits) for r in rows})
-    return anchors.sparkSession.sparkContext.broadcast(held)
+    return keys.sparkSession.sparkContext.broadcast(held)
 
 
-def fragments(keyed: DataFrame, held) -> DataFrame:
-    """The fragments whose anchor passes the filter, each where it occurs."""
+def _passing(keyed: DataFrame, held, with_text: bool) -> DataFrame:
+    """Fragments that pass the filter, each where it occurs: by anchor, or, with their text, by anchor and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            for a, b in portions(texts):
-                f = Fragments([t.encode() for t in texts[a:b]])
-                some = np.flatnonzero(held.value.counts(f.hash.view(np.uint64)) > 0) if len(f.hash) else np.zeros(0, np.int64)
-                owner = pa.array(f.text[some] + a if len(some) else some, pa.int64())
+            dg = batch.column(2).to_numpy()
+            for a, texts in portions(batch.column(3)):
+                f = Fragments([t.encode() for t in texts])
+                if not len(f.hash):
+                    continue
+                owner = f.text + a
+                key = _place_key(f.hash, dg[owner], f.start) if with_text else f.hash.view(np.uint64)
+                some = np.flatnonzero(held.value.counts(key) > 0)
+                data = f.bytes_of(some)
+                if with_text:
+                    last = pa.array(data, pa.binary())
+                else:
+                    last = pa.array([xxhash.xxh64_intdigest(d) for d in data], pa.uint64()).view(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(k).take(owner) for k in range(3)),
-                        pa.array(f.hash[some], pa.int64()), pa.array(f.start[some], pa.int64()),
-                        pa.array(f.offset[some], pa.int32()), pa.array(f.bytes_of(some) if len(some) else [], pa.binary()),
+                        *(batch.column(k).take(pa.array(owner[some])) for k in range(3)),
+                        pa.array(f.start[some], pa.int64()), pa.array(f.hash[some], pa.int64()),
+                        pa.array(f.offset[some], pa.int16()), pa.array(f.count[some], pa.int16()), last,
                     ],
-                    names=[*_KEY, "h", "start", "off", "frag"],
+                    names=[*_KEY, "start", "h", "off", "n", name],
                 )
 
+    name, type_ = ("frag", "binary") if with_text else ("x", "bigint")
     kind = keyed.schema["_id"].dataType.simpleString()
     found = keyed.select(*_KEY, "text").mapInArrow(
-        run, f"_null boolean, _id {kind}, _dg bigint, h bigint, start bigint, off int, frag binary"
-    )
-    return found.select(
-        F.struct(*_KEY, "start").alias("at"), "h", "off", "frag",
-        F.xxhash64("frag").alias("x"), F.hash("frag").alias("y"),
+        run, f"_null boolean, _id {kind}, _dg int, start bigint, h bigint, off smallint, n smallint, {name} {type_}"
     )
+    return found.select(F.struct(*_KEY, "start").alias("at"), "h", "off", "n", name)
+
+
+def _sharing(fragments: list[bytes], length: int) -> np.ndarray:
+    """Which fragments have a string whose hash is met twice; the others cannot match any."""
+    sizes = np.array(list(map(len, fragments)))
+    data = np.frombuffer(b"".join(fragments), np.uint8).astype(np.uint64) + _U(1)
+    up, down = _powers(len(data))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * up, dtype=np.uint64)])
+    hashes = (sums[length:] - sums[:-length]) * down[: len(data) - length + 1]
+    strings = sizes - length + 1
+    owner = np.repeat(np.arange(len(sizes)), strings)
+    first = np.cumsum(sizes) - sizes
+    at = np.arange(int(strings.sum())) - np.repeat(np.cumsum(strings) - strings, strings) + first[owner]
+    mine = hashes[at]
+    order = np.argsort(mine)
+    ordered = mine[order]
+    same = ordered[1:] == ordered[:-1]
+    met = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    out = np.zeros(len(sizes), bool)
+    out[owner[order[met]]] = True
+    return out
 
 
 def _compared(group: pa.Table, length: int = LENGTH) -> pa.Table:
     """The strings of different fragments that occur in an earlier one, as marked bytes."""
+    group = group.filter(pa.array(_sharing(group["frag"].to_pylist(), length)))
     rank = group["rank"].to_numpy() - 1
     most = group["m"].to_numpy()
     texts = [np.frombuffer(f, np.uint8).astype(np.int64) for f in group["frag"].to_pylist()]
@@ -215,12 +250,14 @@ def _compared(group: pa.Table, length: int = LENGTH) -> pa.Table:
         later = rank >> level & 1 == 1
         ask = np.flatnonzero(later)
         held = np.flatnonzero(~later & (((2 * block + 1) << level) < most))
+        level += 1
+        if not len(ask) or not len(held):
+            continue
         # Only fragments that agree in the higher bits may match, so these are part of the symbols.
         index = RunIndex([texts[i] + (int(block[i]) << 8) for i in held])
         found = index.matching_statistics([texts[i] + (int(block[i]) << 8) for i in ask])
         for k, i in enumerate(ask.tolist()):
             repeated[i] |= found[k, : len(repeated[i])] >= length
-        level += 1
     rows, starts, ends = [], [], []
     for i, r in enumerate(repeated):
         edges = np.flatnonzero(np.diff(np.concatenate([[0], r.view(np.int8), [0]])))
@@ -236,28 +273,40 @@ def marks(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP) -> DataFra
     """``(_null, _id, _dg, spans)``: for each text with repeated strings the bytes they cover; spans may
     overlap. Of rows equal in id and text nothing is said about which is the copy."""
     keyed = _keyed(docs, id_column)
-    held = _filter(cut_lineage(repeated_anchors(keyed), "anchors"))
-    rows = cut_lineage(fragments(keyed, held), "fragments")
+    anchors = cut_lineage(repeated_anchors(keyed), "anchors")
+    rows = cut_lineage(_passing(keyed, _filter(anchors.select(F.col("h").alias("key"))), False), "fragments")
     distinct = cut_lineage(
-        rows.groupBy("h", "off", "frag", "x", "y").agg(F.min("at").alias("at"), F.count("*").alias("n")), "distinct"
+        rows.groupBy(*_SAME).agg(F.min("at").alias("at"), F.count("*").alias("times")), "distinct"
     )
 
-    copies = distinct.where("n > 1").select("h", "off", "x", "y", F.col("at").alias("first"))
+    copies = distinct.where("times > 1").select(*_SAME, F.col("at").alias("first"))
     whole = (
-        rows.select("at", "h", "off", "x", "y", F.length("frag").cast("bigint").alias("size"))
-        .join(copies, ["h", "off", "x", "y"])
+        rows.join(copies, _SAME)
         .where(F.col("at") != F.col("first"))
-        .select("at", F.lit(0).cast("bigint").alias("a"), F.col("size").alias("b"))
+        .select("at", F.lit(0).cast("bigint").alias("a"), (F.col("n") + F.lit(LENGTH - 1)).cast("bigint").alias("b"))
     )
 
     sizes = distinct.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    several = cut_lineage(distinct.select("h", "at", "frag").join(sizes, "h"), "several")
-    few, many = several.where(F.col("m") <= cap), several.where(F.col("m") > cap)
+    several = cut_lineage(distinct.join(sizes, "h").select("h", "off", "n", "at", "m"), "several")
+
+    def place_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, dg, start = (batch.column(k).to_numpy() for k in range(3))
+            key = _place_key(h, dg, start).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
+
+    keys = several.select("h", "at._dg", "at.start").mapInArrow(place_keys, "key bigint")
+    texts = _passing(keyed, _filter(cut_lineage(keys, "places")), True)
+    # A row that stands twice in the table gives its fragments twice.
+    ranked = several.join(texts, ["h", "off", "n", "at"]).dropDuplicates(["h", "off", "n", "at"])
+    ranked = cut_lineage(ranked, "different")
+    few, many = ranked.where(F.col("m") <= cap), ranked.where(F.col("m") > cap)
     buckets = 1 + few.count() // TOGETHER
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("h").orderBy("at")))
-    spread = ranked.withColumn("bucket", F.pmod("h", F.lit(buckets)))
+    spread = few.withColumn("rank", F.row_number().over(Window.partitionBy("h").orderBy("at", "off", "n"))).withColumn(
+        "bucket", F.pmod("h", F.lit(buckets))
+    )
     at_type = rows.schema["at"].dataType.simpleString()
-    parts = spread.groupBy("bucket").applyInArrow(
+    parts = spread.select("bucket", "at", "frag", "m", "rank").groupBy("bucket").applyInArrow(
         lambda t: _compared(t), f"at {at_type}, a bigint, b bigint"
     )
 
@@ -291,48 +340,77 @@ def _merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _result(ids: pa.Array, texts: list[bytes], runs: list[list[tuple[int, int]]], id_column: str) -> pa.RecordBatch:
+    digests = []
+    for data, gone in zip(texts, runs, strict=True):
+        kept, at = [], 0
+        for a, b in gone:
+            kept.append(data[at:a])
+            at = b
+        digests.append(hashlib.sha256(b"".join([*kept, data[at:]])).hexdigest())
+    return pa.RecordBatch.from_arrays(
+        [
+            ids, pa.array(list(map(len, texts)), pa.int64()),
+            pa.array([sum(b - a for a, b in r) for r in runs], pa.int64()), pa.array(list(map(len, runs)), pa.int64()),
+            pa.array(digests, pa.string()), pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], _SPANS),
+        ],
+        names=[id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
+    )
+
+
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP) -> DataFrame:
     """Every document with n_bytes, n_removed, n_spans, kept_sha256 and ``spans``, the maximal removed
-    runs of bytes."""
-    found = marks(docs, id_column, cap)
-    # Keys without NULL, so that the copies are numbered and the join is made on one partitioning.
-    key = [F.col("_null"), F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_key"), F.col("_dg")]
-    texts = _keyed(docs, id_column).select(*key, "_id", "text")
-    spans = found.select(*key, "spans")
-    numbered = texts.withColumn("_copy", F.row_number().over(Window.partitionBy("_null", "_key", "_dg").orderBy(F.lit(0))))
-    joined = numbered.join(spans, ["_null", "_key", "_dg"], "left").select("_id", "text", "_copy", "spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, removed, count, digest, all_runs = [], [], [], [], []
-            for text, copy, spans in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                data = text.encode()
-                runs = _merged(spans or [])
-                if copy > 1 and len(data) >= LENGTH:
-                    runs = [(0, len(data))]
-                kept, at = [], 0
-                for a, b in runs:
-                    kept.append(data[at:a])
-                    at = b
-                kept.append(data[at:])
-                size.append(len(data))
-                removed.append(sum(b - a for a, b in runs))
-                count.append(len(runs))
-                digest.append(hashlib.sha256(b"".join(kept)).hexdigest())
-                all_runs.append([{"start": a, "end": b} for a, b in runs])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
-                    pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(all_runs, _SPANS),
-                ],
-                names=[id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
-            )
+    runs of bytes.
 
+    A filter of the texts with spans, of bounded size, lets the others be finished where they are read.
+    """
+    keyed = _keyed(docs, id_column)
+    found = cut_lineage(marks(docs, id_column, cap), "marks")
+    twice = keyed.groupBy(*_KEY).count().where("count > 1").select(*_KEY)
+    digest = F.xxhash64("_null", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_dg")
+    concerned = found.select(*_KEY).unionByName(twice).select(digest.alias("key")).distinct()
+    held = _filter(cut_lineage(concerned, "concerned"))
     kind = docs.schema[id_column].dataType.simpleString()
-    return joined.mapInArrow(
-        run, f"`{id_column}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
-        "spans array<struct<start:bigint,end:bigint>>",
+    schema = (
+        f"`{id_column}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
+        "spans array<struct<start:bigint,end:bigint>>"
     )
 
+    def asked(batch: pa.RecordBatch) -> np.ndarray:
+        return held.value.counts(batch.column(0).to_numpy().view(np.uint64)) > 0
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.filter(pa.array(~asked(batch)))
+            for a, texts in portions(rest.column(2)):
+                ids = rest.column(1).slice(a, len(texts))
+                yield _result(ids, [t.encode() for t in texts], [[]] * len(texts), id_column)
+
+    def concerning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(asked(batch)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, texts in portions(batch.column(1)):
+                some = batch.slice(a, len(texts))
+                data = [t.encode() for t in texts]
+                runs = [
+                    [(0, len(t))] if copy > 1 and len(t) >= LENGTH else _merged(spans or [])
+                    for t, copy, spans in zip(data, some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True)
+                ]
+                yield _result(some.column(0), data, runs, id_column)
+
+    rows = keyed.withColumn("key", digest)
+    untouched = rows.select("key", "_id", "text").mapInArrow(plain, schema)
+    # Keys without NULL, so that the copies are numbered and the join is made on one partitioning.
+    same = ["_null", "_same", "_dg"]
+    named = F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_same")
+    texts = rows.select("key", "_id", "text", "_null", named, "_dg")
+    texts = texts.mapInArrow(concerning, texts.schema)
+    numbered = texts.withColumn("_copy", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
+    joined = numbered.join(found.select("_null", named, "_dg", "spans"), same, "left")
+    return untouched.unionByName(joined.select("_id", "text", "_copy", "spans").mapInArrow(cut, schema))
+
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -18,17 +18,26 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     k = 1
+    if rank.max(initial=0) < (1 << 15) - 1 and n > 4:
+        # Four symbols fit one number, so sorting begins with these.
+        first = rank + 1
+        rank = first << 48
+        for i in (1, 2, 3):
+            rank[: n - i] |= first[i:] << (48 - 16 * i)
+        rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
+        k = 4
     while True:
-        second = np.full(n, 0, np.int64)
-        second[: n - k if n > k else 0] = rank[k:] + 1
+        second = np.zeros(n, np.int64)
+        if k < n:
+            second[: n - k] = rank[k:] + 1
         key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
         if new[-1] == n - 1:
             return order
+        rank = np.empty(n, np.int64)
+        rank[order] = new
         k *= 2
 
 
