@@ -34,7 +34,7 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 from kinfold.llm.common import map_texts
 
 #: Words and arcs remembered by a worker; beyond this many it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Unicode's White_Space, as the file's ``\s`` means it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NEVER = 1 << 60

@@ -5,8 +5,8 @@ gives every position a distribution over the languages. A text's probabilities a
 positions of all its words. A word's positions do not depend on its neighbours, so each
 different word is read once and counted as often as it occurs; whole texts are used, whatever their length.
 
-Training takes a bounded sample: of ``DOCS`` labelled rows for each language (in order of a hash) the
-distinct words, of which ``WORDS`` in all are kept (likewise). A word's target is the share of each
+Training takes a bounded sample: of ``DOCS`` labelled rows for each language (in order of a hash), ``MOST_DOCS`` at most,
+the distinct words, of which ``WORDS`` in all are kept (likewise). A word's target is the share of each
 language in its occurrences; the loss at each position is propagated back through time.
 
 Defined results: a NULL text or one without a letter is ``und`` with score 0, and so is every text if
@@ -28,12 +28,14 @@ from kinfold.llm.common import filter_texts, fold, map_texts
 
 FOLDS, HELD_OUT = 4, 2
 DOCS, WORDS = 300, 30_000
+#: Rows of the sample in all languages together.
+MOST_DOCS = 30_000
 HIDDEN = 12
 #: Bytes of a word that are read together; a longer one is cut.
 PIECE = 24
 UNKNOWN = "und"
 #: Words a worker remembers; beyond this many it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _LETTER = regex.compile(r"\p{L}")
 # ASCII letters in lower case and bytes of other letters stay, all else parts words.
 _TABLE = bytes(
@@ -181,8 +183,15 @@ class ByteTagger:
 def sample(docs: DataFrame, id_column: str, n_docs: int = DOCS, n_words: int = WORDS) -> DataFrame:
     """``(word, lang, n)`` from a bounded sample of the training rows; at most ``n_words`` words."""
     train = docs.where((fold(id_column, FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64(id_column), "text")
-    some = train.select(id_column, "lang", "text").withColumn("_k", F.row_number().over(turn)).where(F.col("_k") <= n_docs)
+    # Rows are chosen by hashes, so that no text is shuffled for it.
+    named = train.select("lang", "text", F.xxhash64(id_column).alias("_h"), F.xxhash64("text").alias("_t"))
+    turn = Window.partitionBy("lang").orderBy("_h", "_t")
+    chosen = (
+        named.select("lang", "_h", "_t").withColumn("_k", F.row_number().over(turn)).where(F.col("_k") <= n_docs)
+        .orderBy("_k", "_h", "_t", "lang").limit(MOST_DOCS)
+        .select("lang", "_h", "_t").distinct()
+    )
+    some = named.join(F.broadcast(chosen), ["lang", "_h", "_t"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
