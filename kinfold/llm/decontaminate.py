@@ -97,7 +97,20 @@ def contained(
 
 
 def without_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id") -> DataFrame:
-    """The rows of ``docs`` in which no item is found, all columns unchanged."""
+    """The rows of ``docs`` whose id has no row in which an item is found, all columns unchanged."""
     found = contained(docs, items, doc_id, item_id).select(F.col(doc_id).alias("_found")).distinct()
     found = cut_lineage(found, "found")
     return docs.join(found, docs[doc_id].eqNullSafe(found["_found"]), "left_anti")
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, item_id: str = "item_id") -> DataFrame:
+    """The rows of ``docs`` in which no item is found, all columns unchanged. Rows are told apart by a number of
+    their own, so a row goes for its own text only, whatever its id and whoever shares it."""
+    numbered = cut_lineage(
+        docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+        .withColumn("_n", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    rows = numbered.select("_n", F.col("_row.text").alias("text"))
+    found = cut_lineage(contained(rows, items, "_n", item_id).select("_n").distinct(), "found")
+    return numbered.join(found, "_n", "left_anti").select("_row.*")
