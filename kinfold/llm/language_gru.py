@@ -292,16 +292,20 @@ def identify(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return map_texts(docs, [id_column, held_out], ["lang_pred string", "score double"], make)
 
 
-def known_language(docs: DataFrame, id_column: str = "doc_id", min_score: float = 0.0) -> DataFrame:
-    """The rows whose language is recognised with at least ``min_score``."""
-    tagger = docs.sparkSession.sparkContext.broadcast(learn(docs, id_column))
+def known_language(docs: DataFrame, id_column: str = "doc_id", min_score: float = 0.0, times_chance: float = 0.0) -> DataFrame:
+    """The rows whose language is recognised with at least ``min_score``, and ``times_chance`` times the score
+    of a guess among the languages learned. A single language is never in doubt."""
+    learned = learn(docs, id_column)
+    n = len(learned.languages) if learned else 0
+    bound = max(min_score, times_chance / n if n > 1 else 0.0)
+    tagger = docs.sparkSession.sparkContext.broadcast(learned)
 
     def make() -> Callable:
         judge = TextJudge(tagger.value)
 
         def passes(texts: list[str]) -> list[bool]:
             names, scores = judge(texts)
-            return [n != UNKNOWN and s >= min_score for n, s in zip(names, scores, strict=True)]
+            return [n != UNKNOWN and s >= bound for n, s in zip(names, scores, strict=True)]
 
         return passes
 
