@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kinfold.llm import (
-    bloom_lm, bpe_automaton, decontaminate, language_gru, quality_rules, repeats, secret_cnn,
-    simhash, toxic_crf, url_digest,
+    bloom_lm, bpe_automaton, decontaminate, language_gru, merkle_manifest, quality_rules, repeats, secret_cnn,
+    simhash, source_mix, toxic_crf, url_digest, whitening,
 )
 from kinfold.llm.common import table
 
@@ -179,3 +179,115 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bytes of every document that repeat earlier ones."""
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+_OP11 = r"""
+with recursive docs as (
+  select *,
+    -- CRC-32 of the id's digits, bit by bit
+    xor(list_reduce(
+      list_prepend(4294967295::bigint, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+        lambda c: [ord(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda t, b: xor(xor(t, b) >> 1, 3988292384 * (xor(t, b) & 1))), 4294967295) as crc
+  from documents),
+parts as (
+  select doc_id, lang, n_chars,
+    coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as head,
+    coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-') as middle,
+    case when crc % 7 = 0 and n_chars is not null
+      then strlen(cast(n_chars + 1 as varchar)) || ':' || cast(n_chars + 1 as varchar) end as other,
+    coalesce(strlen(text) || ':' || text, '-') as tail
+  from docs),
+hashed as (
+  select doc_id, lang, sha256(head || middle || tail) as leaf,
+    case when other is not null then sha256(head || other || tail) end as tampered
+  from parts),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i,
+    count(*) over (partition by lang) as n from hashed),
+langs as (select lang, n, dense_rank() over (order by lang nulls first) - 1 as t from (select distinct lang, n from leaves)),
+trees(t, level, i, n, digest) as (
+  select t, 0, i, leaves.n, leaf from leaves join langs on leaves.lang is not distinct from langs.lang
+  union all
+  select t, level + 1, i // 2, max((n + 1) // 2), sha256(string_agg(digest, '' order by i))
+  from trees where n > 1 group by t, level, i // 2),
+tops as (select t, digest as subroot, (select count(*) from langs) as m from trees where n = 1),
+upper_(level, i, n, digest) as (
+  select 0, t, m, subroot from tops
+  union all
+  select level + 1, i // 2, max((n + 1) // 2), sha256(string_agg(digest, '' order by i))
+  from upper_ where n > 1 group by level, i // 2),
+-- One climb for the true leaf and one for the changed one, with the siblings met so far.
+climb(rid, doc_id, leaf, t, i, n, level, j, folded, met) as (
+  select row_number() over (), doc_id, leaf, t, i, leaves.n, 0, i, coalesce(tampered, leaf), ''
+  from leaves join langs on leaves.lang is not distinct from langs.lang
+  union all
+  select c.rid, c.doc_id, c.leaf, c.t, c.i, (c.n + 1) // 2, c.level + 1, c.j // 2,
+    sha256(case when s.digest is null then c.folded when c.j % 2 = 1 then s.digest || c.folded else c.folded || s.digest end),
+    c.met || coalesce(s.digest, '')
+  from climb c left join trees s on s.t = c.t and s.level = c.level and s.i = xor(c.j, 1)
+  where c.n > 1),
+climb2(rid, doc_id, leaf, t, n, level, j, folded, met) as (
+  select rid, doc_id, leaf, t, m, 0, t, folded, met from climb join tops using (t) where n = 1
+  union all
+  select c.rid, c.doc_id, c.leaf, c.t, (c.n + 1) // 2, c.level + 1, c.j // 2,
+    sha256(case when s.digest is null then c.folded when c.j % 2 = 1 then s.digest || c.folded else c.folded || s.digest end),
+    c.met || coalesce(s.digest, '')
+  from climb2 c left join upper_ s on s.level = c.level and s.i = xor(c.j, 1)
+  where c.n > 1)
+select doc_id, leaf, subroot, root, sha256(met) as proof_sha256, folded as folded_root, folded = root as verified
+from climb2 join tops using (t), (select digest as root from upper_ where n = 1) where climb2.n = 1
+"""
+
+
+@query(_OP11)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaf, proof and root of every document, and whether a changed one is found out."""
+    return merkle_manifest.verified(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+_OP13 = r"""
+with sized as (
+  select doc_id, source, cast(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) as bigint) as size,
+    md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key
+  from documents),
+sources as (
+  select source, cast(sum(size) as bigint) as source_size, (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
+  from sized group by source),
+-- Sources in the order in which they would reach their limit: words and weight that are left before each.
+filled as (
+  select *, cast(sum(source_size) over () - 3 * coalesce(sum(source_size) over before_, 0) as bigint) as left_,
+    cast(sum(weight) over () - coalesce(sum(weight) over before_, 0) as bigint) as weight_left
+  from sources
+  window before_ as (order by source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+level_ as (
+  select left_ as r, weight_left as w from filled
+  where 3 * source_size * weight_left >= left_ * weight order by weight_left desc limit 1),
+goals as (
+  select source, source_size,
+    case when 3 * source_size * w < r * weight then cast(3 * source_size as double)
+      else cast(r * weight as double) / cast(w as double) end as target,
+    case when 3 * source_size * w < r * weight then 3 * source_size else r * weight // w end as budget
+  from sources, level_),
+placed as (
+  select doc_id, size, source_size, target, budget,
+    coalesce(sum(size) over (partition by sized.source order by key, size rows between unbounded preceding and 1 preceding), 0) as before_
+  from sized join goals on sized.source is not distinct from goals.source)
+select doc_id, size, source_size, target,
+  cast(case when source_size = 0 then 0 else budget // source_size * size
+    + greatest(0, least(size, budget % source_size - before_)) end as bigint) as taken
+from placed
+"""
+
+
+@query(_OP13)
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix by source weights takes."""
+    return source_mix.taken_words(table(spark, sf_dir, "documents"))
