@@ -1,10 +1,15 @@
 """Documents to training tokens: each stage works on all that the one before it kept.
 
 1. documents whose language is not recognised go;
-2. of each group of near-duplicates (four fifths of their five-word shingles are shared) one document stays;
+2. of each group of near-duplicates (SimHash fingerprints of three-word shingles, linked within two bits) one document
+   stays;
 3. documents that hold a benchmark item go;
 4. secrets in the texts are replaced;
 5. texts become token ids, which decode to the normalised text.
+
+Defined results: a NULL or empty text has no letters, so stage 1 drops it; equal rows are near-duplicates, of which one
+stays; rows without an id, or with the same one, are judged by their own texts in every stage; other columns,
+whatever their names, are carried along; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bpe_automaton, decontaminate, language_gru, near_copies, secret_cnn
+from kinfold.llm import bpe_automaton, decontaminate, language_gru, secret_cnn, simhash
 from kinfold.llm.catalogue import tokenizer_path
 from kinfold.llm.common import ship, table
 from kinfold.sources.scratch import cut_lineage
@@ -31,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return near_copies.first_of_each(docs)
+    return simhash.first_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
