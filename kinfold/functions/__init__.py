@@ -1,7 +1,9 @@
 from kinfold.functions.columns import ensure_columns, money_sum, orderable_columns, salt_of
-from kinfold.functions.text import edit_distance, full_name, near, own_pieces, possible_pieces
+from kinfold.functions.text import (
+    MAX_EDITS, edit_distance, full_name, near, own_pieces, possible_pieces, with_deletions,
+)
 
 __all__ = [
-    "edit_distance", "ensure_columns", "full_name", "money_sum", "near",
-    "orderable_columns", "own_pieces", "possible_pieces", "salt_of",
+    "MAX_EDITS", "edit_distance", "ensure_columns", "full_name", "money_sum", "near",
+    "orderable_columns", "own_pieces", "possible_pieces", "salt_of", "with_deletions",
 ]

@@ -3,11 +3,18 @@
 Two customers match if they share an email or a phone and their full names differ by at most two
 edits. A shared email or phone is a *block*. Blocks differ in size by many orders of magnitude: a
 personal email is shared by two or three records, a placeholder phone by a third of all. So names
-are first reduced to the distinct ones per block. Near names then meet in an equi-join: of three
-pieces of a name two edits leave one as it is, so one name is put under its pieces and the other
-under all that these may be, a number of rows that does not depend on the length of the name or the size of the
-block. The edit distance is part of the join, so only true matches leave it. Pieces that very
-many names of a block share are salted.
+are first reduced to the distinct ones per block, and near names then meet in equi-joins on parts that
+few names of a block share, so that the names that meet are not many more than the names and the true
+matches:
+
+* in a block of at most ``FEW`` names all meet;
+* in a larger block, names of up to ``SHORT`` letters meet under what is left without two letters, which only names
+  within two letters of each other share, whatever else is common to the block;
+* longer names are cut into five pieces, of which two edits leave three. So one name is put under its three
+  rarest pieces, by their number in the block, and the other under all that these may be. A name
+  whose third rarest piece is still that of many names is put under its deletions, too.
+
+The edit distance is part of the joins, so only true matches leave them.
 
 The distinct names are needed several times and are written to the shared folder first, so these
 functions start jobs when they are called.
@@ -15,15 +22,20 @@ functions start jobs when they are called.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions import full_name, near, own_pieces, possible_pieces
+from kinfold.functions import MAX_EDITS, full_name, near, own_pieces, possible_pieces, with_deletions
 from kinfold.operators.closure import connected_components
-from kinfold.operators.skew import HOT_ROWS, lookup_join, salted_join
+from kinfold.operators.skew import HOT_ROWS, lookup_join
 from kinfold.sources.scratch import cut_lineage
 
 _BLOCK = ["kind", "block"]
+#: Names of a block that are all compared; letters of a name that is put under its deletions (about n^2 / 2 rows).
+FEW, SHORT = 16, 32
+LONG_PIECES = 5
 
 
 def _entries(customers: DataFrame) -> DataFrame:
@@ -45,26 +57,65 @@ def _names(entries: DataFrame) -> DataFrame:
     )
 
 
-def _near_names(names: DataFrame, min_rows: int) -> DataFrame:
-    """Pairs of different near names of a block, each once: (kind, block, name_a, id_a, name_b, id_b).
+def _meet(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Different names of a block that share a key, ``a`` with the shorter or, of equally long ones, the lesser."""
+    one = a.select(*_BLOCK, *keys, F.col("name").alias("name_a"), F.col("first_id").alias("id_a"))
+    other = b.select(*_BLOCK, *keys, F.col("name").alias("name_b"), F.col("first_id").alias("id_b"))
+    shorter, longer = F.length("name_a"), F.length("name_b")
+    once = (longer <= shorter + MAX_EDITS) & ((shorter < longer) | ((shorter == longer) & (F.col("name_a") < F.col("name_b"))))
+    return one.join(other, [*_BLOCK, *keys]).where(once).select(*_BLOCK, "name_a", "id_a", "name_b", "id_b")
+
+
+def _by_rare_pieces(long: DataFrame, min_rows: int) -> DataFrame:
+    """Long names with their three rarest pieces, and whether these are ``rare`` enough to meet under."""
+    keys = [*_BLOCK, "n", "i", "piece"]
+    cut = long.select(*_BLOCK, "name", "first_id", F.explode(own_pieces(F.col("name"), LONG_PIECES)).alias("p"))
+    pieces = cut.select(*_BLOCK, "name", "first_id", "p.*")
+    counts = pieces.groupBy(*keys).agg(F.count("*").alias("n_names"))
+    counted = lookup_join(pieces, counts, keys, "n_names", min_rows)
+    by_count = F.array_sort(F.collect_list(F.struct("n_names", "n", "i", "piece")))
+    left = LONG_PIECES - MAX_EDITS
+    return (
+        counted.groupBy(*_BLOCK, "name", "first_id").agg(F.slice(by_count, 1, left).alias("rarest"))
+        .withColumn("rare", F.col("rarest")[left - 1]["n_names"] <= F.pow(F.length("name"), F.lit(2)) / 4)
+    )
+
+
+def _met(names: DataFrame, min_rows: int) -> DataFrame:
+    """Pairs of names that may be near, among them all that are: (kind, block, name_a, id_a, name_b, id_b).
 
     ``names`` has the distinct names of each block with ``first_id``. A block with one name has no
-    pair and is left out before names are taken to pieces.
+    pair and is left out first. Which ways are needed is counted before they are planned.
     """
-    shared = names.groupBy(*_BLOCK).agg(F.count("*").alias("n_names")).where("n_names > 1")
-    rest = names.join(shared, _BLOCK, "left_semi")
+    sizes = names.groupBy(*_BLOCK).agg(F.count("*").alias("n_names")).where("n_names > 1")
+    rest = lookup_join(names.select(*_BLOCK, "name", "first_id"), sizes, _BLOCK, "n_names", min_rows)
+    rest = cut_lineage(rest, "shared-names")
+    small, large, length = F.col("n_names") <= FEW, F.col("n_names") > FEW, F.length("name")
+    n = rest.agg(F.count_if(large).alias("large"), F.count_if(large & (length > SHORT)).alias("long")).first()
+    ways = [_meet(rest.where(small), rest.where(small), [])]
+    big = rest.where(large)
+    if n.large:
+        shorter = with_deletions(big.where(length <= SHORT), "name", every=True)
+        longer = with_deletions(big.where(length <= SHORT + MAX_EDITS), "name", every=False)
+        ways.append(_meet(shorter, longer, ["rest"]))
+    if n.long:
+        long = big.where(length > SHORT)
+        placed = cut_lineage(_by_rare_pieces(long, min_rows), "rare-pieces")
+        keys = ["n", "i", "piece"]
+        own = placed.where("rare").withColumn("p", F.explode("rarest"))
+        possible = long.withColumn("p", F.explode(possible_pieces(F.col("name"), LONG_PIECES)))
+        ways.append(_meet(*[d.select(*_BLOCK, "name", "first_id", *[f"p.{k}" for k in keys]) for d in (own, possible)], keys))
+        common = placed.where("not rare").drop("rarest", "rare")
+        if not common.isEmpty():
+            lengths = common.select(*_BLOCK, F.explode(F.sequence(length, length + MAX_EDITS)).alias("_length")).distinct()
+            about = long.withColumn("_length", length).join(lengths, [*_BLOCK, "_length"], "left_semi").drop("_length")
+            ways.append(_meet(with_deletions(common, "name", True), with_deletions(about, "name", False), ["rest"]))
+    return reduce(DataFrame.unionByName, ways)
 
-    def under(pieces, side: str) -> DataFrame:
-        return rest.select(
-            *_BLOCK, F.col("name").alias(f"name_{side}"), F.col("first_id").alias(f"id_{side}"),
-            F.explode(pieces(F.col("name"))).alias("p"),
-        ).select(*_BLOCK, f"name_{side}", f"id_{side}", "p.n", "p.i", "p.piece")
 
-    keys = [*_BLOCK, "n", "i", "piece"]
-    met = salted_join(under(own_pieces, "a"), under(possible_pieces, "b"), keys, how="inner", min_rows=min_rows)
-    once = (F.length("name_a") < F.length("name_b")) | (F.col("name_a") < F.col("name_b"))
-    true = met.where(once & (F.col("name_a") != F.col("name_b")) & near(F.col("name_a"), F.col("name_b")))
-    return true.select(*_BLOCK, "name_a", "id_a", "name_b", "id_b").distinct()
+def _near_names(names: DataFrame, min_rows: int) -> DataFrame:
+    """Pairs of different near names of a block, each once: (kind, block, name_a, id_a, name_b, id_b)."""
+    return _met(names, min_rows).where(near(F.col("name_a"), F.col("name_b"))).distinct()
 
 
 def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:

@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinfold.functions import edit_distance, own_pieces, possible_pieces
+from kinfold.functions import edit_distance, own_pieces, possible_pieces, with_deletions
+from kinfold.operators import match
 from kinfold.operators.match import assign_golden, match_edges, match_pairs, one_hop
 
 SCHEMA = "customer_id string, first_name string, last_name string, email string, phone string"
@@ -136,6 +137,48 @@ def test_long_names(spark):
     assert set(got) == true_pairs(data)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(NAMES)
+def test_near_names_share_a_rest(spark, names):
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    a = with_deletions(df, "n", every=True).select(F.col("n").alias("a"), "rest")
+    b = with_deletions(df, "n", every=False).select(F.col("n").alias("b"), "rest")
+    met = {tuple(r) for r in a.join(b, "rest").select("a", "b").distinct().collect()}
+    for x in names:
+        for y in names:
+            if len(x) <= len(y) and distance(x, y) <= 2:
+                assert (x, y) in met
+
+
+@pytest.mark.parametrize("few,short,seed", [(0, 99, 1), (0, 3, 2), (0, 0, 3), (5, 6, 4)])
+def test_every_way_finds_all_pairs(spark, monkeypatch, few, short, seed):
+    """Blocks of all sizes and names of all lengths, by deletions, by rare pieces and by both."""
+    monkeypatch.setattr(match, "FEW", few)
+    monkeypatch.setattr(match, "SHORT", short)
+    data = people(100, seed) + [
+        (f"L{i:02d}", "common beginning of a name " + f"{i * i * 37 % 101:03d}", "with a common end" if i % 2 else "end", "x" if i % 3 else "y", None)
+        for i in range(40)
+    ]
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    pairs = true_pairs(data)
+    assert set(rows(match_pairs(df, 4))) == pairs
+    assert golden_of(assign_golden(df, "transitive", 4)) == reachable(data, pairs)
+
+
+def test_names_that_meet_are_few(spark):
+    """Names of one block that share a beginning and an end: ten times the names, about ten times the meetings."""
+    met = []
+    for n in (200, 2000):
+        r = random.Random(n)
+        data = [(f"C{i:05d}", "Customer", "".join(r.choice("0123456789") for _ in range(9)) + " Ltd", "m", None) for i in range(n)]
+        names = match._names(match._entries(spark.createDataFrame(data, SCHEMA)))
+        met.append(match._met(names, 10**6).count())
+        assert met[-1] < 10 * n
+    long = [(f"C{i:05d}", "A long common name", f"{r.randrange(10**6):06d} and its end", "m", None) for i in range(1000)]
+    names = match._names(match._entries(spark.createDataFrame(long, SCHEMA)))
+    assert match._met(names, 10**6).count() < 30 * 1000  # of 499,500 pairs
+
+
 def test_a_long_name_costs_few_rows(spark):
     df = spark.createDataFrame([("q" * 200 + "w" * 200,), ("q",), ("",)], "n string")
     n = F.size(own_pieces(F.col("n"))) + F.size(possible_pieces(F.col("n")))
