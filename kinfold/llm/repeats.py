@@ -50,7 +50,8 @@ STRETCH = 4_000_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_KEY = ["_null", "_id", "_dg"]
+_SECOND = 0x5DEECE66D
+_KEY = ["_null", "_id", "_dg", "_dh"]
 _SAME = ["h", "off", "n", "x"]
 
 
@@ -132,9 +133,11 @@ class Fragments:
 
 
 def _keyed(docs: DataFrame, id_column: str) -> DataFrame:
+    """Rows with what tells them apart where ids do not: 128 bits of the text, from two seeds."""
     return docs.select(
         F.col(id_column).isNull().alias("_null"), F.col(id_column).alias("_id"),
-        F.hash("text").alias("_dg"), F.coalesce("text", F.lit("")).alias("text"),
+        F.xxhash64("text").alias("_dg"), F.xxhash64(F.lit(_SECOND), "text").alias("_dh"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
@@ -154,11 +157,16 @@ def repeated_anchors(keyed: DataFrame) -> DataFrame:
 
 
 def _place_key(h: np.ndarray, dg: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """One number for an anchor and the place of its fragment."""
+    """One number for an anchor and the place of its fragment; equal ones cost time only."""
     place = dg.astype(np.int64).view(np.uint64) * _U(_BASE) + start.astype(np.int64).view(np.uint64)
     return _mix(_mix(place) ^ h.view(np.uint64))
 
 
+def _text_key(dg: np.ndarray) -> np.ndarray:
+    """One number for a text, in the same filter."""
+    return _mix(dg.astype(np.int64).view(np.uint64) ^ _U(_BASE))
+
+
 def _filter(keys: DataFrame):
     """A broadcast filter of the column ``key``; ``FILTER`` bytes at most, whatever the number of rows."""
     n = min(1 + keys.count() // SEGMENT, FILTER // 4096)
@@ -186,8 +194,10 @@ def _passing(keyed: DataFrame, held, with_text: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if with_text:  # texts without a wanted fragment are not cut
+                batch = batch.filter(pa.array(held.value.counts(_text_key(batch.column(2).to_numpy())) > 0))
             dg = batch.column(2).to_numpy()
-            for a, texts in portions(batch.column(3)):
+            for a, texts in portions(batch.column(4)):
                 f = Fragments([t.encode() for t in texts])
                 if not len(f.hash):
                     continue
@@ -201,7 +211,7 @@ def _passing(keyed: DataFrame, held, with_text: bool) -> DataFrame:
                     last = pa.array([xxhash.xxh64_intdigest(d) for d in data], pa.uint64()).view(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(k).take(pa.array(owner[some])) for k in range(3)),
+                        *(batch.column(k).take(pa.array(owner[some])) for k in range(4)),
                         pa.array(f.start[some], pa.int64()), pa.array(f.hash[some], pa.int64()),
                         pa.array(f.offset[some], pa.int16()), pa.array(f.count[some], pa.int16()), last,
                     ],
@@ -211,7 +221,7 @@ def _passing(keyed: DataFrame, held, with_text: bool) -> DataFrame:
     name, type_ = ("frag", "binary") if with_text else ("x", "bigint")
     kind = keyed.schema["_id"].dataType.simpleString()
     found = keyed.select(*_KEY, "text").mapInArrow(
-        run, f"_null boolean, _id {kind}, _dg int, start bigint, h bigint, off smallint, n smallint, {name} {type_}"
+        run, f"_null boolean, _id {kind}, _dg bigint, _dh bigint, start bigint, h bigint, off smallint, n smallint, {name} {type_}"
     )
     return found.select(F.struct(*_KEY, "start").alias("at"), "h", "off", "n", name)
 
@@ -270,7 +280,7 @@ def _compared(group: pa.Table, length: int = LENGTH) -> pa.Table:
 
 
 def marks(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP) -> DataFrame:
-    """``(_null, _id, _dg, spans)``: for each text with repeated strings the bytes they cover; spans may
+    """``(_null, _id, _dg, _dh, spans)``: for each text with repeated strings the bytes they cover; spans may
     overlap. Of rows equal in id and text nothing is said about which is the copy."""
     keyed = _keyed(docs, id_column)
     anchors = cut_lineage(repeated_anchors(keyed), "anchors")
@@ -292,7 +302,7 @@ def marks(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP) -> DataFra
     def place_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, dg, start = (batch.column(k).to_numpy() for k in range(3))
-            key = _place_key(h, dg, start).view(np.int64)
+            key = np.concatenate([_place_key(h, dg, start), _text_key(np.unique(dg))]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
 
     keys = several.select("h", "at._dg", "at.start").mapInArrow(place_keys, "key bigint")
@@ -317,7 +327,7 @@ def marks(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP) -> DataFra
         )).alias("s"),
     ).select(
         "at", "s.i", "s.d",
-        F.struct(F.col("at._null"), F.col("at._id"), F.col("at._dg"), (F.col("at.start") + F.col("s.i")).alias("start")).alias("own"),
+        F.struct(F.col("at._null"), F.col("at._id"), F.col("at._dg"), F.col("at._dh"), (F.col("at.start") + F.col("s.i")).alias("start")).alias("own"),
     )
     earliest = strings.groupBy("d").agg(F.min("own").alias("first"))
     single = (
@@ -367,7 +377,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP)
     keyed = _keyed(docs, id_column)
     found = cut_lineage(marks(docs, id_column, cap), "marks")
     twice = keyed.groupBy(*_KEY).count().where("count > 1").select(*_KEY)
-    digest = F.xxhash64("_null", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_dg")
+    digest = F.xxhash64("_null", F.coalesce(F.col("_id").cast("string"), F.lit("")), "_dg", "_dh")
     concerned = found.select(*_KEY).unionByName(twice).select(digest.alias("key")).distinct()
     held = _filter(cut_lineage(concerned, "concerned"))
     kind = docs.schema[id_column].dataType.simpleString()
@@ -404,12 +414,12 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", cap: int = CAP)
     rows = keyed.withColumn("key", digest)
     untouched = rows.select("key", "_id", "text").mapInArrow(plain, schema)
     # Keys without NULL, so that the copies are numbered and the join is made on one partitioning.
-    same = ["_null", "_same", "_dg"]
+    same = ["_null", "_same", "_dg", "_dh"]
     named = F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_same")
-    texts = rows.select("key", "_id", "text", "_null", named, "_dg")
+    texts = rows.select("key", "_id", "text", "_null", named, "_dg", "_dh")
     texts = texts.mapInArrow(concerning, texts.schema)
     numbered = texts.withColumn("_copy", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
-    joined = numbered.join(found.select("_null", named, "_dg", "spans"), same, "left")
+    joined = numbered.join(found.select("_null", named, "_dg", "_dh", "spans"), same, "left")
     return untouched.unionByName(joined.select("_id", "text", "_copy", "spans").mapInArrow(cut, schema))
 
 

@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -382,6 +383,21 @@ def test_repeats(spark, cap):
         assert sum(s.end - s.start for s in r.spans) == r.n_removed
 
 
+def test_texts_with_equal_short_hashes_are_told_apart(spark):
+    """Rows without an id are told apart by their texts, also where 32 bits of these agree."""
+    filled = F.concat(F.sha2(F.concat(F.lit("a"), F.col("id").cast("string")), 512), F.lit(" "), F.md5(F.col("id").cast("string")))
+    texts = spark.range(200_000).select(filled.alias("text")).withColumn("h", F.hash("text"))
+    pairs = texts.groupBy("h").agg(F.collect_list("text").alias("t")).where("size(t) > 1").collect()
+    assert pairs
+    rows = [(None, t) for p in pairs for t in p.t] + [(None, "short")] * 500 + [(None, "the same long text " * 8)] * 40
+    got = repeats.without_repeats(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    whole = len("the same long text " * 8)
+    assert sorted(r.n_removed for r in got if r.n_bytes > 160 or r.n_bytes < 10) == [0] * (500 + sum(len(p.t) for p in pairs))
+    copies = sorted(r.n_removed for r in got if r.n_bytes == whole)
+    assert copies[1:] == [whole] * 39 and copies[0] < whole
+
+
 def test_repeats_of_very_long_texts(odd):
     got = {r.doc_id: r for r in repeats.without_repeats(odd).collect()}
     assert got[8].n_bytes == 150_000 and got[8].n_removed == 149_999
