@@ -390,7 +390,7 @@ def test_texts_with_equal_short_hashes_are_told_apart(spark):
     pairs = texts.groupBy("h").agg(F.collect_list("text").alias("t")).where("size(t) > 1").collect()
     assert pairs
     rows = [(None, t) for p in pairs for t in p.t] + [(None, "short")] * 500 + [(None, "the same long text " * 8)] * 40
-    got = repeats.without_repeats(frame(spark, rows)).collect()
+    got = repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(got) == len(rows)
     whole = len("the same long text " * 8)
     assert sorted(r.n_removed for r in got if r.n_bytes > 160 or r.n_bytes < 10) == [0] * (500 + sum(len(p.t) for p in pairs))
