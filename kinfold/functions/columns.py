@@ -21,11 +21,15 @@ def money_sum(amount: Column, scale: int | None = None) -> Column:
     finish. Where amounts are known to have at most ``scale`` decimals, they are added as whole units of
     ``10**-scale``, which does not; an amount that is no number counts as 0 there.
     """
-    amount = F.coalesce(amount, F.lit(0.0))
     if scale is None:
-        return F.sum(amount)
-    units = F.coalesce(F.round(amount * F.lit(float(10**scale))).try_cast("bigint"), F.lit(0))
-    return F.sum(units) / F.lit(float(10**scale))
+        return F.sum(F.coalesce(amount, F.lit(0.0)))
+    return F.sum(money_units(amount, scale)) / F.lit(float(10**scale))
+
+
+def money_units(amount: Column, scale: int) -> Column:
+    """An amount in whole units of ``10**-scale``; 0 for NULL and what is no number."""
+    amount = F.coalesce(amount, F.lit(0.0))
+    return F.coalesce(F.round(amount * F.lit(float(10**scale))).try_cast("bigint"), F.lit(0))
 
 
 def salt_of(n: int, *cols: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions import money_sum, salt_of
+from kinfold.functions import money_sum, money_units, salt_of
 from kinfold.operators.latest import latest_per_key
 from kinfold.operators.skew import HOT_ROWS, hot_keys, salted_join
 from kinfold.schemas import METRIC_COLUMNS, PROFILE_COLUMNS
@@ -161,6 +161,78 @@ def _add_up(owner: DataFrame, metrics: DataFrame, amount: str, scale: int | None
     )
 
 
+# --- totals that are kept ------------------------------------------------------------------
+
+
+def _amount(amount: Column, scale: int | None) -> Column:
+    """An amount as a decimal whose sums are exact: whole units where ``scale`` is known, else the amount; NULL
+    where a decimal cannot hold it."""
+    if scale is not None:
+        return money_units(amount, scale).cast("decimal(38,18)")
+    return F.coalesce(amount, F.lit(0.0)).try_cast("decimal(38,18)")
+
+
+def fact_totals(
+    accounts: DataFrame,
+    loans: DataFrame,
+    account_states: Mapping[str, str] = ACCOUNT_STATES,
+    loan_states: Mapping[str, str] = LOAN_STATES,
+    money_scale: int | None = None,
+) -> DataFrame:
+    """What the facts of each customer add up to, in a form to which changes can be added later.
+
+    Facts are as in ``customer_profile``; with a column ``sign`` of -1 they are taken away. Counts and sums are exact, so
+    adding what came and taking away what went gives the same as adding up anew. ``account_odd`` and ``loan_odd`` count the
+    amounts that no decimal holds; a customer with one has to be added up from its facts.
+    """
+    sides = (
+        (accounts, "account_id", "balance", "account_status", "account_count", "total_balance", "account_odd", account_states),
+        (loans, "loan_id", "loan_amount", "loan_status", "loan_count", "total_loan_amount", "loan_odd", loan_states),
+    )
+    counts = [c for *_, n, _, odd, states in sides for c in (n, odd, *states)]
+    sums = [total for *_, total, _, _ in sides]
+    rows = []
+    for facts, ident, amount, status, n, total, odd, states in sides:
+        less = F.col("sign") < 0 if "sign" in facts.columns else F.lit(False)
+        exact = _amount(F.col(amount), money_scale)
+        values = {n: F.col(ident).isNotNull(), odd: exact.isNull()} | {a: F.col(status) == v for a, v in states.items()}
+        values = {a: F.when(F.coalesce(v, F.lit(False)), F.when(less, -1).otherwise(1)).otherwise(0) for a, v in values.items()}
+        money = F.coalesce(exact, F.lit(0).cast("decimal(38,18)"))
+        rows.append(facts.where("customer_id is not null").select(
+            "customer_id",
+            *[values.get(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+            *[(F.when(less, -money).otherwise(money) if c == total else F.lit(0)).cast("decimal(38,18)").alias(c) for c in sums],
+        ))
+    return add_totals(rows[0].unionByName(rows[1]))
+
+
+def add_totals(totals: DataFrame) -> DataFrame:
+    """One row per customer of several."""
+    kinds = {c: t for c, t in totals.dtypes if c != "customer_id"}
+    return totals.groupBy("customer_id").agg(*[F.sum(c).cast(t).alias(c) for c, t in kinds.items()])
+
+
+def profile_from_totals(
+    customers: DataFrame, totals: DataFrame | None, stamp: Column | None = None,
+    account_states: Mapping[str, str] = ACCOUNT_STATES, loan_states: Mapping[str, str] = LOAN_STATES,
+    money_scale: int | None = None,
+) -> DataFrame:
+    """``customer_profile`` by customer, from totals that are kept; zeros where a customer has none."""
+    metrics = [*METRIC_COLUMNS, *[m for m in (*account_states, *loan_states) if m not in METRIC_COLUMNS]]
+    if totals is not None:
+        customers = customers.select(*PROFILE_COLUMNS).join(totals, "customer_id", "left")
+    unit = F.lit(float(10**money_scale) if money_scale is not None else 1.0)
+
+    def value(name: str) -> Column:
+        if name in ("total_balance", "total_loan_amount"):
+            money = F.col(name).cast("bigint") / unit if money_scale is not None else F.col(name).cast("double")
+            return F.coalesce(money, F.lit(0.0)) if totals is not None else F.lit(0.0)
+        return F.coalesce(F.col(name), F.lit(0).cast("bigint")) if totals is not None else F.lit(0).cast("bigint")
+
+    wanted = [m for m in metrics if m in (*account_states, *loan_states, "account_count", "loan_count", "total_balance", "total_loan_amount")]
+    return customers.select(*PROFILE_COLUMNS, *[value(m).alias(m) for m in wanted], _stamp(stamp).alias("updated_at"))
+
+
 def profile_from_resolved(
     resolved: DataFrame, stamp: Column | None = None, money_scale: int | None = None
 ) -> DataFrame:

@@ -33,89 +33,106 @@ from kinfold.operators.skew import HOT_ROWS, lookup_join
 from kinfold.sources.scratch import cut_lineage
 
 _BLOCK = ["kind", "block"]
+_NAME = [*_BLOCK, "name", "first_id", "fresh_id"]
 #: Names of a block that are all compared; letters of a name that is put under its deletions (about n^2 / 2 rows).
 FEW, SHORT = 16, 32
 LONG_PIECES = 5
 
 
-def _entries(customers: DataFrame) -> DataFrame:
+def _entries(customers: DataFrame, fresh: str | None = None) -> DataFrame:
     """One narrow row per customer and contact; a NULL contact or name matches nothing."""
+    is_fresh = F.lit(True) if fresh is None else F.col(fresh)
     contacts = F.array(
         F.struct(F.lit("email").alias("kind"), F.col("email").alias("block")),
         F.struct(F.lit("phone").alias("kind"), F.col("phone").alias("block")),
     )
     return (
-        customers.select("customer_id", full_name().alias("name"), F.explode(contacts).alias("c"))
-        .select("customer_id", "name", "c.kind", "c.block")
+        customers.select("customer_id", full_name().alias("name"), is_fresh.alias("fresh"), F.explode(contacts).alias("c"))
+        .select("customer_id", "name", "fresh", "c.kind", "c.block")
         .where("block is not null and name is not null")
     )
 
 
 def _names(entries: DataFrame) -> DataFrame:
+    """The distinct names of each block: the smallest customer, the smallest fresh one and the smallest other."""
+    one = F.col("customer_id")
     return entries.groupBy(*_BLOCK, "name").agg(
-        F.min("customer_id").alias("first_id"), F.count("*").alias("n_ids")
+        F.min(one).alias("first_id"), F.count("*").alias("n_ids"),
+        F.min(F.when(F.col("fresh"), one)).alias("fresh_id"), F.min(F.when(~F.col("fresh"), one)).alias("old_id"),
     )
 
 
-def _meet(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Different names of a block that share a key, ``a`` with the shorter or, of equally long ones, the lesser."""
-    one = a.select(*_BLOCK, *keys, F.col("name").alias("name_a"), F.col("first_id").alias("id_a"))
-    other = b.select(*_BLOCK, *keys, F.col("name").alias("name_b"), F.col("first_id").alias("id_b"))
+def _meet(a: DataFrame, b: DataFrame, keys: list[str], some: bool) -> DataFrame:
+    """Different names of a block that share a key, ``a`` with the shorter or, of equally long ones, the lesser.
+
+    With ``some``, one of the two has to have a fresh customer; the names of the others only meet these.
+    """
+
+    def side(names: DataFrame, s: str) -> DataFrame:
+        return names.select(*_BLOCK, *keys, F.col("name").alias(f"name_{s}"), F.col("first_id").alias(f"id_{s}"), F.col("fresh_id").alias(f"fresh_{s}"))
+
+    one, other = side(a, "a"), side(b, "b")
+    met = one.join(other, [*_BLOCK, *keys])
+    if some:
+        met = one.where("fresh_a is not null").join(other, [*_BLOCK, *keys]).unionByName(
+            one.where("fresh_a is null").join(other.where("fresh_b is not null"), [*_BLOCK, *keys])
+        )
     shorter, longer = F.length("name_a"), F.length("name_b")
     once = (longer <= shorter + MAX_EDITS) & ((shorter < longer) | ((shorter == longer) & (F.col("name_a") < F.col("name_b"))))
-    return one.join(other, [*_BLOCK, *keys]).where(once).select(*_BLOCK, "name_a", "id_a", "name_b", "id_b")
+    return met.where(once).select(*_BLOCK, "name_a", "id_a", "fresh_a", "name_b", "id_b", "fresh_b")
 
 
 def _by_rare_pieces(long: DataFrame, min_rows: int) -> DataFrame:
     """Long names with their three rarest pieces, and whether these are ``rare`` enough to meet under."""
     keys = [*_BLOCK, "n", "i", "piece"]
-    cut = long.select(*_BLOCK, "name", "first_id", F.explode(own_pieces(F.col("name"), LONG_PIECES)).alias("p"))
-    pieces = cut.select(*_BLOCK, "name", "first_id", "p.*")
+    cut = long.select(*_NAME, F.explode(own_pieces(F.col("name"), LONG_PIECES)).alias("p"))
+    pieces = cut.select(*_NAME, "p.*")
     counts = pieces.groupBy(*keys).agg(F.count("*").alias("n_names"))
     counted = lookup_join(pieces, counts, keys, "n_names", min_rows)
     by_count = F.array_sort(F.collect_list(F.struct("n_names", "n", "i", "piece")))
     left = LONG_PIECES - MAX_EDITS
     return (
-        counted.groupBy(*_BLOCK, "name", "first_id").agg(F.slice(by_count, 1, left).alias("rarest"))
+        counted.groupBy(*_NAME).agg(F.slice(by_count, 1, left).alias("rarest"))
         .withColumn("rare", F.col("rarest")[left - 1]["n_names"] <= F.pow(F.length("name"), F.lit(2)) / 4)
     )
 
 
-def _met(names: DataFrame, min_rows: int) -> DataFrame:
-    """Pairs of names that may be near, among them all that are: (kind, block, name_a, id_a, name_b, id_b).
+def _met(names: DataFrame, min_rows: int, some: bool = False) -> DataFrame:
+    """Pairs of names that may be near, among them all that are: (kind, block, name_a, id_a, fresh_a, name_b, id_b, fresh_b).
 
-    ``names`` has the distinct names of each block with ``first_id``. A block with one name has no
+    ``names`` has the distinct names of each block (``_names``). A block with one name, or without a fresh customer, has no
     pair and is left out first. Which ways are needed is counted before they are planned.
     """
-    sizes = names.groupBy(*_BLOCK).agg(F.count("*").alias("n_names")).where("n_names > 1")
-    rest = lookup_join(names.select(*_BLOCK, "name", "first_id"), sizes, _BLOCK, "n_names", min_rows)
+    sizes = names.groupBy(*_BLOCK).agg(F.count("*").alias("n_names"), F.count("fresh_id").alias("n_fresh"))
+    sizes = sizes.where("n_names > 1 and n_fresh > 0").drop("n_fresh")
+    rest = lookup_join(names.select(*_NAME), sizes, _BLOCK, "n_names", min_rows)
     rest = cut_lineage(rest, "shared-names")
     small, large, length = F.col("n_names") <= FEW, F.col("n_names") > FEW, F.length("name")
     n = rest.agg(F.count_if(large).alias("large"), F.count_if(large & (length > SHORT)).alias("long")).first()
-    ways = [_meet(rest.where(small), rest.where(small), [])]
+    ways = [_meet(rest.where(small), rest.where(small), [], some)]
     big = rest.where(large)
     if n.large:
         shorter = with_deletions(big.where(length <= SHORT), "name", every=True)
         longer = with_deletions(big.where(length <= SHORT + MAX_EDITS), "name", every=False)
-        ways.append(_meet(shorter, longer, ["rest"]))
+        ways.append(_meet(shorter, longer, ["rest"], some))
     if n.long:
         long = big.where(length > SHORT)
         placed = cut_lineage(_by_rare_pieces(long, min_rows), "rare-pieces")
         keys = ["n", "i", "piece"]
         own = placed.where("rare").withColumn("p", F.explode("rarest"))
         possible = long.withColumn("p", F.explode(possible_pieces(F.col("name"), LONG_PIECES)))
-        ways.append(_meet(*[d.select(*_BLOCK, "name", "first_id", *[f"p.{k}" for k in keys]) for d in (own, possible)], keys))
+        ways.append(_meet(*[d.select(*_NAME, *[f"p.{k}" for k in keys]) for d in (own, possible)], keys, some))
         common = placed.where("not rare").drop("rarest", "rare")
         if not common.isEmpty():
             lengths = common.select(*_BLOCK, F.explode(F.sequence(length, length + MAX_EDITS)).alias("_length")).distinct()
             about = long.withColumn("_length", length).join(lengths, [*_BLOCK, "_length"], "left_semi").drop("_length")
-            ways.append(_meet(with_deletions(common, "name", True), with_deletions(about, "name", False), ["rest"]))
+            ways.append(_meet(with_deletions(common, "name", True), with_deletions(about, "name", False), ["rest"], some))
     return reduce(DataFrame.unionByName, ways)
 
 
-def _near_names(names: DataFrame, min_rows: int) -> DataFrame:
-    """Pairs of different near names of a block, each once: (kind, block, name_a, id_a, name_b, id_b)."""
-    return _met(names, min_rows).where(near(F.col("name_a"), F.col("name_b"))).distinct()
+def _near_names(names: DataFrame, min_rows: int, some: bool = False) -> DataFrame:
+    """Pairs of different near names of a block, each once, with the columns of ``_met``."""
+    return _met(names, min_rows, some).where(near(F.col("name_a"), F.col("name_b"))).distinct()
 
 
 def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -123,8 +140,8 @@ def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
 
     The result itself is as large as the matches are many; the golden ids below do not need it.
     """
-    entries = cut_lineage(_entries(customers), "entries")
-    names = cut_lineage(_names(entries), "names")
+    entries = cut_lineage(_entries(customers).drop("fresh"), "entries")
+    names = cut_lineage(_names(entries.withColumn("fresh", F.lit(True))), "names")
     near_names = cut_lineage(_near_names(names, min_rows).select(*_BLOCK, "name_a", "name_b"), "near-names")
     a = entries.withColumnsRenamed({"name": "name_a", "customer_id": "id_a"})
     b = entries.withColumnsRenamed({"name": "name_b", "customer_id": "id_b"})
@@ -136,40 +153,47 @@ def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     ).distinct()
 
 
-def one_hop(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def one_hop(customers: DataFrame, min_rows: int = HOT_ROWS, fresh: str | None = None) -> DataFrame:
     """``(customer_id, golden_customer_id)`` of every customer with a contact: the smallest id among
-    the customer itself and its direct matches."""
-    entries = _entries(customers)
+    the customer itself and its direct matches.
+
+    ``fresh`` names a boolean column. Where it is true the result is the same; a customer where it is not gets the smallest
+    of its fresh matches only, or NULL, and two such customers are never compared.
+    """
+    entries = _entries(customers, fresh)
     names = cut_lineage(_names(entries), "names")
-    pairs = cut_lineage(_near_names(names, min_rows), "near-names")
-    ways = [("name_a", "id_b"), ("name_b", "id_a")]
-    others = [pairs.select(*_BLOCK, F.col(n).alias("name"), F.col(i).alias("near_id"), F.lit(0).alias("n_ids")) for n, i in ways]
+    pairs = cut_lineage(_near_names(names, min_rows, fresh is not None), "near-names")
+    others = [
+        pairs.select(*_BLOCK, F.col(f"name_{a}").alias("name"), F.col(f"id_{b}").alias("near_id"), F.col(f"fresh_{b}").alias("fresh_id"), F.lit(0).alias("n_ids"))
+        for a, b in ("ab", "ba")
+    ]
     nearest = (
-        names.select(*_BLOCK, "name", F.col("first_id").alias("near_id"), "n_ids")
+        names.select(*_BLOCK, "name", F.col("first_id").alias("near_id"), "fresh_id", "n_ids")
         .unionByName(others[0]).unionByName(others[1])
         .groupBy(*_BLOCK, "name")
-        .agg(F.min("near_id").alias("near_id"), F.sum("n_ids").alias("n_ids"))
+        .agg(F.min("near_id").alias("near_id"), F.min("fresh_id").alias("near_fresh"), F.sum("n_ids").alias("n_ids"))
     )
-    return (
-        lookup_join(entries, nearest, [*_BLOCK, "name"], "n_ids", min_rows)
-        .groupBy("customer_id")
-        .agg(F.min("near_id").alias("golden_customer_id"))
+    found = lookup_join(entries, nearest, [*_BLOCK, "name"], "n_ids", min_rows)
+    return found.groupBy("customer_id").agg(
+        F.min(F.when(F.col("fresh"), F.col("near_id")).otherwise(F.col("near_fresh"))).alias("golden_customer_id")
     )
 
 
-def match_edges(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def match_edges(customers: DataFrame, min_rows: int = HOT_ROWS, fresh: str | None = None) -> DataFrame:
     """A set of edges ``(u, v)`` that connects exactly what the matching pairs connect.
 
     Customers of one block and name form a star around the smallest id; two near names are one
-    edge between their smallest ids, however many customers bear them.
+    edge between their smallest ids, however many customers bear them. With ``fresh``, a boolean column, customers where it is false
+    are taken to be connected already if they match each other, and are not compared.
     """
-    entries = _entries(customers)
+    entries = _entries(customers, fresh)
     names = cut_lineage(_names(entries), "names")
-    several = names.where("n_ids > 1")
-    copies = lookup_join(entries, several, [*_BLOCK, "name"], "n_ids", min_rows).select(
-        F.col("customer_id").alias("u"), F.col("first_id").alias("v")
+    centre = F.coalesce("old_id", "first_id").alias("v")
+    several = names.where("n_ids > 1 and fresh_id is not null").select(*_BLOCK, "name", "n_ids", centre)
+    copies = lookup_join(entries.where("fresh"), several, [*_BLOCK, "name"], "n_ids", min_rows).select(
+        F.col("customer_id").alias("u"), "v"
     )
-    across = _near_names(names, min_rows).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
+    across = _near_names(names, min_rows, fresh is not None).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
     return copies.unionByName(across).where("u <> v")
 
 
