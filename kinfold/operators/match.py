@@ -33,7 +33,7 @@ from kinfold.operators.skew import HOT_ROWS, lookup_join
 from kinfold.sources.scratch import cut_lineage
 
 _BLOCK = ["kind", "block"]
-_NAME = [*_BLOCK, "name", "first_id", "fresh_id"]
+_NAME = [*_BLOCK, "number", "name", "fresh_id"]
 #: Names of a block that are all compared; letters of a name that is put under its deletions (about n^2 / 2 rows).
 FEW, SHORT = 16, 32
 LONG_PIECES = 5
@@ -62,24 +62,34 @@ def _names(entries: DataFrame) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Into the full number of shuffle partitions: taking names apart costs far more than moving them, so adaptive
+    execution, which goes by bytes, would leave this work to too few tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _meet(a: DataFrame, b: DataFrame, keys: list[str], some: bool) -> DataFrame:
-    """Different names of a block that share a key, ``a`` with the shorter or, of equally long ones, the lesser.
+    """Numbers ``(a, b)`` of different names of a block that share a key, ``a`` with the shorter or, of equally long ones, the one
+    with the lesser number.
 
-    With ``some``, one of the two has to have a fresh customer; the names of the others only meet these.
+    Blocks and keys are hashed together and names stay where they are, so rows are narrow; the few pairs that only hashes bring
+    together are compared like the others. With ``some``, one of the two has to have a fresh customer; the names of the others only
+    meet these.
     """
 
     def side(names: DataFrame, s: str) -> DataFrame:
-        return names.select(*_BLOCK, *keys, F.col("name").alias(f"name_{s}"), F.col("first_id").alias(f"id_{s}"), F.col("fresh_id").alias(f"fresh_{s}"))
+        return names.select(
+            F.xxhash64(*_BLOCK, *keys).alias("key"), F.col("number").alias(s), F.length("name").alias(f"n_{s}"), F.col("fresh_id").isNotNull().alias(f"f_{s}")
+        )
 
     one, other = side(a, "a"), side(b, "b")
-    met = one.join(other, [*_BLOCK, *keys])
-    if some:
-        met = one.where("fresh_a is not null").join(other, [*_BLOCK, *keys]).unionByName(
-            one.where("fresh_a is null").join(other.where("fresh_b is not null"), [*_BLOCK, *keys])
-        )
-    shorter, longer = F.length("name_a"), F.length("name_b")
-    once = (longer <= shorter + MAX_EDITS) & ((shorter < longer) | ((shorter == longer) & (F.col("name_a") < F.col("name_b"))))
-    return met.where(once).select(*_BLOCK, "name_a", "id_a", "fresh_a", "name_b", "id_b", "fresh_b")
+    shorter, longer = F.col("n_a"), F.col("n_b")
+    once = (longer <= shorter + MAX_EDITS) & ((shorter < longer) | ((shorter == longer) & (F.col("a") < F.col("b"))))
+    same = one["key"] == other["key"]
+    if not some:
+        return one.join(other, same & once).select("a", "b")
+    fresh = one.where("f_a").join(other, same & once).select("a", "b")
+    return fresh.unionByName(one.where("not f_a").join(other.where("f_b"), same & once).select("a", "b"))
 
 
 def _by_rare_pieces(long: DataFrame, min_rows: int) -> DataFrame:
@@ -101,16 +111,16 @@ def _met(names: DataFrame, min_rows: int, some: bool = False) -> DataFrame:
     """Pairs of names that may be near, among them all that are: (kind, block, name_a, id_a, fresh_a, name_b, id_b, fresh_b).
 
     ``names`` has the distinct names of each block (``_names``). A block with one name, or without a fresh customer, has no
-    pair and is left out first. Which ways are needed is counted before they are planned.
+    pair and is left out first; the others get numbers. Which ways are needed is counted before they are planned.
     """
     sizes = names.groupBy(*_BLOCK).agg(F.count("*").alias("n_names"), F.count("fresh_id").alias("n_fresh"))
     sizes = sizes.where("n_names > 1 and n_fresh > 0").drop("n_fresh")
-    rest = lookup_join(names.select(*_NAME), sizes, _BLOCK, "n_names", min_rows)
-    rest = cut_lineage(rest, "shared-names")
+    rest = lookup_join(names.select(*_BLOCK, "name", "first_id", "fresh_id"), sizes, _BLOCK, "n_names", min_rows)
+    rest = cut_lineage(rest.withColumn("number", F.monotonically_increasing_id()), "shared-names")
     small, large, length = F.col("n_names") <= FEW, F.col("n_names") > FEW, F.length("name")
     n = rest.agg(F.count_if(large).alias("large"), F.count_if(large & (length > SHORT)).alias("long")).first()
     ways = [_meet(rest.where(small), rest.where(small), [], some)]
-    big = rest.where(large)
+    big = _spread(rest.where(large), *_BLOCK, "name")
     if n.large:
         shorter = with_deletions(big.where(length <= SHORT), "name", every=True)
         longer = with_deletions(big.where(length <= SHORT + MAX_EDITS), "name", every=False)
@@ -127,12 +137,20 @@ def _met(names: DataFrame, min_rows: int, some: bool = False) -> DataFrame:
             lengths = common.select(*_BLOCK, F.explode(F.sequence(length, length + MAX_EDITS)).alias("_length")).distinct()
             about = long.withColumn("_length", length).join(lengths, [*_BLOCK, "_length"], "left_semi").drop("_length")
             ways.append(_meet(with_deletions(common, "name", True), with_deletions(about, "name", False), ["rest"], some))
-    return reduce(DataFrame.unionByName, ways)
+    pairs = reduce(DataFrame.unionByName, ways).distinct()
+    for s in "ab":
+        named = rest.select(
+            F.col("number").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("kind", "block", "name")],
+            F.col("first_id").alias(f"id_{s}"), F.col("fresh_id").alias(f"fresh_{s}"),
+        )
+        pairs = pairs.join(named, s)
+    met = pairs.where("kind_a = kind_b and block_a = block_b").withColumnsRenamed({"kind_a": "kind", "block_a": "block"})
+    return met.select(*_BLOCK, "name_a", "id_a", "fresh_a", "name_b", "id_b", "fresh_b")
 
 
 def _near_names(names: DataFrame, min_rows: int, some: bool = False) -> DataFrame:
     """Pairs of different near names of a block, each once, with the columns of ``_met``."""
-    return _met(names, min_rows, some).where(near(F.col("name_a"), F.col("name_b"))).distinct()
+    return _met(names, min_rows, some).where(near(F.col("name_a"), F.col("name_b")))
 
 
 def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
