@@ -20,7 +20,7 @@ from kinfold.sources.files import (
 )
 from kinfold.sources.scratch import cut_lineage, scratch_path
 from kinfold.sources.tables import read_table, replace_in_table, upsert_table, write_table
-from kinfold.streaming import dedup_stream, ingest, quarantine_stream, read_lines, staged
+from kinfold.streaming import Landing, batch_log, dedup_stream, ingest, land, read_lines, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,16 +260,14 @@ def stream_late_rows(spark, sf_dir):
   count(*) filter (event_type = 'error') as quarantined from events"""
 )
 def ingest_quarantined(spark, sf_dir):
-    """Every line of a topic is staged or put aside."""
-    lines, out, aside = (scratch_path(spark, n) for n in ("lines", "staging", "quarantine"))
+    """Every line of a topic is staged or put aside, by one reading."""
+    lines, to = scratch_path(spark, "lines"), _landing(spark)
     _with_broken(spark, sf_dir).write.text(lines)
-    topic = read_lines(spark, lines)
-    ingest(topic, roles.EVENT, out, scratch_path(spark, "offsets"), "3650 days").awaitTermination()
-    quarantine_stream(topic, roles.EVENT, aside, scratch_path(spark, "offsets")).awaitTermination()
+    land(read_lines(spark, lines), roles.EVENT, to, scratch_path(spark, "offsets"), "3650 days").awaitTermination()
     counts = [
         spark.read.text(lines).agg(F.count("*").alias("lines")),
-        staged(spark, out).agg(F.count("*").alias("staged")),
-        spark.read.parquet(aside).agg(F.count("*").alias("quarantined")),
+        staged(spark, to.staging).agg(F.count("*").alias("staged")),
+        spark.read.parquet(to.quarantine).agg(F.count("*").alias("quarantined")),
     ]
     # Three rows of one number each, brought into one row.
     rows = counts[0]
@@ -278,6 +276,69 @@ def ingest_quarantined(spark, sf_dir):
     return rows.agg(*[F.max(c).alias(c) for c in ("lines", "staged", "quarantined")])
 
 
+def _landing(spark: SparkSession) -> Landing:
+    return Landing(*[scratch_path(spark, n) for n in ("staging", "quarantine", "late", "batches")])
+
+
+#: Lines in three deliveries: updates; inserts and copies of some updates; deletes, older copies and broken lines.
+_DELIVERIES = f"""
+deliveries as (
+  select 0 as batch, * from changes where op_type = 'UPDATE'
+  union all select 1, * from changes where op_type = 'INSERT' or (op_type = 'UPDATE' and cast(event_id as bigint) % 3 = 0)
+  union all select 2, * from changes where op_type = 'DELETE' or cast(event_id as bigint) % 5 = 0),
+bounds as (select batch, max(max(event_time)) over (order by batch rows between unbounded preceding and 1 preceding) - interval 10 day as bound
+  from deliveries group by batch),
+judged as (
+  select d.*, coalesce(event_time < bound, false) as is_late from deliveries d join bounds using (batch)),
+kept as (select *, row_number() over (partition by event_id order by batch) as nth from judged where not is_late)"""
+
+
+def _delivered(spark: SparkSession, sf_dir: str) -> Landing:
+    e = roles.events(spark, sf_dir)
+    lines, offsets, to = scratch_path(spark, "lines"), scratch_path(spark, "offsets"), _landing(spark)
+    number, update = F.col("event_id").cast("bigint"), F.col("op_type") == "UPDATE"
+    parts = [update, (F.col("op_type") == "INSERT") | (update & (number % 3 == 0)), (F.col("op_type") == "DELETE") | (number % 5 == 0)]
+    for k, part in enumerate(parts):
+        out = to_cdc(e.where(part))
+        if k == 2:
+            broken = e.where(number % 7 == 0).select(F.concat(F.lit("no event: "), "event_id").alias("value"))
+            out = out.unionByName(broken)
+        out.write.mode("append").text(lines)
+        land(read_lines(spark, lines), roles.EVENT, to, offsets, "10 days").awaitTermination()
+    return to
+
+
+@query(
+    _with(
+        _EVENTS, _DELIVERIES,
+        select="""select batch, lines + case when batch = 2 then broken else 0 end as lines, staged, lines - late - staged as repeated, late,
+  case when batch = 2 then broken else 0 end as malformed
+from (select batch, count(*) as lines, count(*) filter (is_late) as late from judged group by 1)
+join (select batch, count(*) filter (nth = 1) as staged from kept group by 1) using (batch),
+  (select count(*) as broken from changes where cast(event_id as bigint) % 7 = 0)""",
+    )
+)
+def ingest_accounted(spark, sf_dir):
+    """Every line of three deliveries is staged, repeated, late or malformed."""
+    return batch_log(spark, _delivered(spark, sf_dir)).select("batch", "lines", "staged", "repeated", "late", "malformed")
+
+
+@query(
+    _with(
+        _EVENTS, _DELIVERIES,
+        select="""select event_id, event_time, op_type, 'staged' as kind from kept where nth = 1
+union all select event_id, event_time, op_type, 'late' from judged where is_late""",
+    )
+)
+def ingest_late_kept(spark, sf_dir):
+    """The events that are staged, and those that came too late, which are kept beside them."""
+    to = _delivered(spark, sf_dir)
+    columns = ["event_id", "event_time", "op_type"]
+    kinds = ((staged(spark, to.staging), "staged"), (spark.read.parquet(to.late), "late"))
+    parts = [_ntz(rows.select(*columns)).withColumn("kind", F.lit(kind)) for rows, kind in kinds]
+    return parts[0].unionByName(parts[1])
+
+
 @query(_with(_CUSTOMERS, select="select * from customers"))
 def master_csv_roundtrip(spark, sf_dir):
     """The customer list written as CSV and read back: every field is text."""
