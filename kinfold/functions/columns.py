@@ -32,6 +32,19 @@ def money_units(amount: Column, scale: int) -> Column:
     return F.coalesce(F.round(amount * F.lit(float(10**scale))).try_cast("bigint"), F.lit(0))
 
 
+def exact_amount(amount: Column, scale: int | None = None) -> Column:
+    """An amount as a decimal whose sums are exact: whole units where ``scale`` is known, else the amount; NULL
+    where a decimal cannot hold it."""
+    if scale is not None:
+        return money_units(amount, scale).cast("decimal(38,18)")
+    return F.coalesce(amount, F.lit(0.0)).try_cast("decimal(38,18)")
+
+
+def amount_of(total: Column, scale: int | None = None) -> Column:
+    """A sum of exact amounts as a double."""
+    return total.cast("double") if scale is None else total.cast("bigint") / F.lit(float(10**scale))
+
+
 def salt_of(n: int, *cols: Column | str) -> Column:
     """A repeatable salt in ``[0, n)``: a recomputed task gives every row the same salt again."""
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")

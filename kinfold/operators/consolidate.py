@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions import money_sum, money_units, salt_of
+from kinfold.functions import amount_of, exact_amount, money_sum, salt_of
 from kinfold.operators.latest import latest_per_key
 from kinfold.operators.skew import HOT_ROWS, hot_keys, salted_join
 from kinfold.schemas import METRIC_COLUMNS, PROFILE_COLUMNS
@@ -164,14 +164,6 @@ def _add_up(owner: DataFrame, metrics: DataFrame, amount: str, scale: int | None
 # --- totals that are kept ------------------------------------------------------------------
 
 
-def _amount(amount: Column, scale: int | None) -> Column:
-    """An amount as a decimal whose sums are exact: whole units where ``scale`` is known, else the amount; NULL
-    where a decimal cannot hold it."""
-    if scale is not None:
-        return money_units(amount, scale).cast("decimal(38,18)")
-    return F.coalesce(amount, F.lit(0.0)).try_cast("decimal(38,18)")
-
-
 def fact_totals(
     accounts: DataFrame,
     loans: DataFrame,
@@ -194,7 +186,7 @@ def fact_totals(
     rows = []
     for facts, ident, amount, status, n, total, odd, states in sides:
         less = F.col("sign") < 0 if "sign" in facts.columns else F.lit(False)
-        exact = _amount(F.col(amount), money_scale)
+        exact = exact_amount(F.col(amount), money_scale)
         values = {n: F.col(ident).isNotNull(), odd: exact.isNull()} | {a: F.col(status) == v for a, v in states.items()}
         values = {a: F.when(F.coalesce(v, F.lit(False)), F.when(less, -1).otherwise(1)).otherwise(0) for a, v in values.items()}
         money = F.coalesce(exact, F.lit(0).cast("decimal(38,18)"))
@@ -221,12 +213,10 @@ def profile_from_totals(
     metrics = [*METRIC_COLUMNS, *[m for m in (*account_states, *loan_states) if m not in METRIC_COLUMNS]]
     if totals is not None:
         customers = customers.select(*PROFILE_COLUMNS).join(totals, "customer_id", "left")
-    unit = F.lit(float(10**money_scale) if money_scale is not None else 1.0)
 
     def value(name: str) -> Column:
         if name in ("total_balance", "total_loan_amount"):
-            money = F.col(name).cast("bigint") / unit if money_scale is not None else F.col(name).cast("double")
-            return F.coalesce(money, F.lit(0.0)) if totals is not None else F.lit(0.0)
+            return F.coalesce(amount_of(F.col(name), money_scale), F.lit(0.0)) if totals is not None else F.lit(0.0)
         return F.coalesce(F.col(name), F.lit(0).cast("bigint")) if totals is not None else F.lit(0).cast("bigint")
 
     wanted = [m for m in metrics if m in (*account_states, *loan_states, "account_count", "loan_count", "total_balance", "total_loan_amount")]

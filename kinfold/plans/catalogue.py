@@ -601,6 +601,31 @@ def top_states(spark, sf_dir):
     return segment.top_states(_segments(spark, sf_dir))
 
 
+@query(
+    _with(
+        *_UP_TO_SEGMENTS,
+        select=f"""select segment, state, count(*) as customers, {_MONEY.format('total_balance')} as total_balance,
+  {_MONEY.format('total_loan_amount')} as total_loan_amount from segments group by 1, 2""",
+    )
+)
+def summary_maintained(spark, sf_dir):
+    """Customers and totals by segment and state, kept over a change: what went is taken away, what came is added."""
+    after = cut_lineage(_segments(spark, sf_dir), "after")
+    # Before, every third customer had half the balance and lived elsewhere, and every fifth was not there.
+    number = F.col("customer_id").substr(6, 10).cast("bigint")
+    third = number % 3 == 0
+    was = after.where(number % 5 != 0).withColumns({
+        "state": F.when(third, F.lit("elsewhere")).otherwise(F.col("state")),
+        "total_balance": F.when(third, F.round(F.col("total_balance") / 2, 2)).otherwise(F.col("total_balance")),
+    })
+    came = after.where(third | (number % 5 == 0)).withColumn("sign", F.lit(1))
+    went = was.where(third).withColumn("sign", F.lit(-1))
+    kept = segment.add_summaries(
+        segment.summarise(was, 2).unionByName(segment.summarise(came.unionByName(went), 2))
+    )
+    return segment.summary_totals(kept, "segment", "state", money_scale=2)
+
+
 _KPIS = f"""select count(distinct customer_id) as customers, {_MONEY.format('total_balance')} as total_balance,
   {_MONEY.format('total_loan_amount')} as total_loan_amount from segments"""
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kinfold.operators import consolidate, match
 from kinfold.operators.latest import latest_per_key
 from kinfold.operators.quality import QualityError
-from kinfold.operators.segment import assign_segment
+from kinfold.operators.segment import assign_segment, customers_by, kpis, summary_by, summary_totals
 from kinfold.plans import jobs
 from kinfold.schemas import METRIC_COLUMNS, PROFILE_COLUMNS
 from kinfold.sources import scratch
@@ -89,8 +89,14 @@ class Bank:
         full = self.full().select(*columns)
         assert rows(jobs.profile_table(self.spark, self.s).select(*columns)) == rows(full)
         names = assign_segment(full).select("customer_id", "segment")
-        got = jobs.segment_table(self.spark, self.s).select("customer_id", "segment")
-        assert rows(got) == rows(names)
+        table = jobs.segment_table(self.spark, self.s)
+        assert rows(table.select("customer_id", "segment")) == rows(names)
+        kept = jobs.summary(self.spark, self.s)
+        for column in ("segment", "state"):
+            assert rows(summary_by(kept, column)) == rows(customers_by(table, column))
+        got, want = summary_totals(kept).first(), kpis(table).first()
+        assert got.customers == want.customers
+        assert got.total_balance == pytest.approx(want.total_balance) and got.total_loan_amount == pytest.approx(want.total_loan_amount)
 
 
 @pytest.mark.parametrize("closure", ["one_hop", "transitive"])
