@@ -45,6 +45,8 @@ LENGTH, GRAM = 100, 40
 CAP, TOGETHER = 4096, 6000
 #: Bytes of the filter, at most, and keys for each of its segments.
 FILTER, SEGMENT = 64 << 20, 2_000_000
+#: Characters that are cut into fragments at once, so that the arrays stay in the processor's caches.
+AT_ONCE = 400_000
 #: Bytes of one text that are looked at together.
 STRETCH = 4_000_000
 _U = np.uint64
@@ -77,14 +79,21 @@ _powers = _Powers()
 
 
 def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of ``width`` neighbours, from each place on, by running minima within blocks."""
-    n = len(keys)
-    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = keys
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
+    """Minimum of ``width`` neighbours, from each place on, by doubling."""
+    n, have = len(keys), 1
+    out = keys
+    while 2 * have <= width:
+        out = np.minimum(out[:-have], out[have:])
+        have *= 2
+    return np.minimum(out[: n - width + 1], out[width - have : width - have + n - width + 1])
+
+
+def _scattered(h: np.ndarray) -> np.ndarray:
+    """Rolling hashes in an order of their own; equal ones stay equal."""
+    h = h ^ (h >> _U(32))
+    h *= _U(0xD6E8FEB86659FD93)
+    h ^= h >> _U(29)
+    return h
 
 
 class Fragments:
@@ -105,24 +114,22 @@ class Fragments:
         b = np.frombuffer(self.data, np.uint8).astype(np.uint64) + _U(1)
         up, down = _powers(n)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(b * up, dtype=np.uint64)])
-        hashes = _mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
-        bits = max(1, n.bit_length())
-        place = np.arange(len(hashes), dtype=np.uint64)
-        width = length - gram + 1
-        anchor = (_smallest((hashes >> _U(bits) << _U(bits)) | place, width) & _U((1 << bits) - 1)).astype(np.int64)
+        hashes = _scattered((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
+        # The upper half of a hash decides, of equal ones the first: the same in equal strings, wherever they stand.
+        keys = (hashes & _U(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
+        anchor = (_smallest(keys, length - gram + 1) & _U(0xFFFFFFFF)).astype(np.int64)
         sizes = np.array([len(u[2]) for u in units])
         first = np.cumsum(sizes) - sizes
-        strings = sizes - length + 1
-        # The places where a string starts and ends in one unit, unit by unit.
-        unit = np.repeat(np.arange(len(units)), strings)
-        p = np.arange(int(strings.sum())) - np.repeat(np.cumsum(strings) - strings, strings) + first[unit]
-        a = anchor[p]
-        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (unit[1:] != unit[:-1])]))
-        self.at = p[new]
-        self.count = np.diff(np.append(new, len(p)))
-        self.offset = a[new] - self.at
-        self.hash = hashes[a[new]].view(np.int64)
-        of = unit[new]
+        stop = first + sizes - length + 1  # strings that start here would leave their unit
+        cuts = np.unique(np.concatenate([np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, first, stop]))
+        of = np.searchsorted(first, cuts, side="right") - 1
+        inside = cuts < stop[of]
+        self.at = cuts[inside]
+        self.count = np.diff(np.append(cuts, len(anchor)))[inside]
+        of = of[inside]
+        a = anchor[self.at]
+        self.offset = a - self.at
+        self.hash = hashes[a].view(np.int64)
         self.text = np.array([u[0] for u in units])[of]
         self.start = self.at - first[of] + np.array([u[1] for u in units])[of]
         self.length = length
@@ -146,7 +153,7 @@ def repeated_anchors(keyed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Fragments([t.encode() for t in texts]).hash for _, texts in portions(batch.column(0))]
+            found = [Fragments([t.encode() for t in texts]).hash for _, texts in portions(batch.column(0), AT_ONCE)]
             h, n = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(n, pa.int64())], names=["h", "n"])
 
@@ -197,7 +204,7 @@ def _passing(keyed: DataFrame, held, with_text: bool) -> DataFrame:
             if with_text:  # texts without a wanted fragment are not cut
                 batch = batch.filter(pa.array(held.value.counts(_text_key(batch.column(2).to_numpy())) > 0))
             dg = batch.column(2).to_numpy()
-            for a, texts in portions(batch.column(4)):
+            for a, texts in portions(batch.column(4), AT_ONCE):
                 f = Fragments([t.encode() for t in texts])
                 if not len(f.hash):
                     continue
