@@ -153,6 +153,20 @@ def _near_names(names: DataFrame, min_rows: int, some: bool = False) -> DataFram
     return _met(names, min_rows, some).where(near(F.col("name_a"), F.col("name_b")))
 
 
+def block_sizes(customers: DataFrame, min_customers: int = 2) -> DataFrame:
+    """``(kind, block, n_customers, n_names)`` of the emails and phones that at least so many customers share.
+
+    A placeholder that everyone was given shows up here as a block with many names. Customers are counted by name before they
+    meet in a block, so a large one is no burden. Empty contacts are blocks too; NULL ones, and customers without a
+    name, belong to none.
+    """
+    return (
+        _entries(customers).groupBy(*_BLOCK, "name").agg(F.count("*").alias("n"))
+        .groupBy(*_BLOCK).agg(F.sum("n").alias("n_customers"), F.count("*").alias("n_names"))
+        .where(F.col("n_customers") >= min_customers)
+    )
+
+
 def match_pairs(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """All matching pairs ``(id_a, id_b)`` with ``id_a < id_b``, each once.
 

@@ -397,6 +397,20 @@ def match_pairs(spark, sf_dir):
     return match.match_pairs(roles.customers(spark, sf_dir))
 
 
+@query(
+    _with(
+        _CUSTOMERS,
+        """entries as (
+  select 'email' as kind, email as block, first_name || ' ' || last_name as name from customers
+  union all select 'phone', phone, first_name || ' ' || last_name from customers)""",
+        select="""select kind, block, count(*) as n_customers, count(distinct name) as n_names from entries
+where block is not null and name is not null group by kind, block having count(*) >= 2""",
+    )
+)
+def block_sizes(spark, sf_dir):
+    return match.block_sizes(roles.customers(spark, sf_dir))
+
+
 @query(_with(*_UP_TO_GOLDEN, select="select customer_id, golden_customer_id from golden"))
 def golden_one_hop(spark, sf_dir):
     golden = match.assign_golden(roles.customers(spark, sf_dir))
@@ -963,8 +977,8 @@ def _waves(spark: SparkSession, sf_dir: str) -> dict[str, list[DataFrame]]:
     return out
 
 
-def _refreshed(spark: SparkSession, sf_dir: str, closure: str = "one_hop") -> jobs.Settings:
-    """Ingest both waves and run all jobs after each."""
+def _refreshed(spark: SparkSession, sf_dir: str, closure: str = "one_hop", together: bool = False) -> jobs.Settings:
+    """Ingest both waves and run all jobs after each; with ``together``, each runs on one run of every table."""
     s = jobs.Settings(
         scratch_path(spark, "bank"), lateness="36500 days", money_scale=2,
         closure=closure, thresholds=tuple(roles.THRESHOLDS),
@@ -976,9 +990,17 @@ def _refreshed(spark: SparkSession, sf_dir: str, closure: str = "one_hop") -> jo
             parts[wave].write.mode("append").text(lines)
             jobs.ingest(read_lines(spark, lines), entity, s).awaitTermination()
         jobs.run_all(spark, s)
+        if together:
+            s = jobs.bring_together(spark, s)
     return s
 
 
+@query(_with(*_UP_TO_SEGMENTS, select="select * from segments"))
+def incremental_segments_brought_together(spark, sf_dir):
+    """Segments after two runs of all jobs, with all tables brought together after each."""
+    return jobs.segment_table(spark, _refreshed(spark, sf_dir, together=True))
+
+
 @query(_with(*_UP_TO_PROFILE, select=f"select {_PROFILE_OUT} from profile"))
 def incremental_profiles(spark, sf_dir):
     """Profiles after two runs of all jobs, from change events to tables."""

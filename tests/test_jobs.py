@@ -111,6 +111,30 @@ def test_incremental_equals_full(spark, folder, closure):
     assert all(o.skipped for o in again) and [o.run for o in again] == [2, 2, 2]
 
 
+def test_tables_brought_together(spark, folder):
+    """Later runs, and jobs that were behind, go on from the next generation; the old one can be read as before."""
+    bank = Bank(spark, folder, seed=5)
+    bank.ingest(bank.wave(20))
+    jobs.run_all(spark, bank.s)
+    bank.ingest(bank.wave(5))
+    jobs.resolve(spark, bank.s)
+    old, bank.s = bank.s, jobs.bring_together(spark, bank.s)
+    assert bank.s.generation == 1 and bank.s.table("golden") != old.table("golden")
+    assert all(os.listdir(bank.s.table(t)) == [f"run={n}"] for t, n in (("resolved", 2), ("profiles", 1), ("golden", 2)))
+    assert rows(jobs.profile_table(spark, bank.s)) == rows(jobs.profile_table(spark, old))
+    assert not jobs.consolidate(spark, bank.s).skipped and not jobs.segment(spark, bank.s).skipped
+    bank.check()
+    assert all(o.skipped for o in jobs.run_all(spark, bank.s))
+    bank.ingest(bank.wave(4))
+    jobs.run_all(spark, bank.s)
+    bank.check()
+
+
+def test_nothing_to_bring_together(spark, folder):
+    s = jobs.bring_together(spark, jobs.Settings(folder + "/bank"))
+    assert s.generation == 1 and jobs.resolve(spark, s).skipped and jobs.consolidate(spark, s).skipped
+
+
 def test_a_run_writes_what_changed(spark, folder):
     bank = Bank(spark, folder, seed=9)
     bank.ingest([bank.customer(i) for i in range(300)] + [bank.account(i, i) for i in range(300)] + [bank.loan(1, 1)])

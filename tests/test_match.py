@@ -227,3 +227,14 @@ def test_plans_compare_no_product(spark):
 def test_unknown_closure(spark):
     with pytest.raises(ValueError):
         assign_golden(spark.createDataFrame(people(3, 1), SCHEMA), "two_hops")
+
+
+def test_block_sizes(spark):
+    people = [
+        ("1", "Ann", "A", "x@x", "0"), ("2", "Ann", "A", "x@x", "0"), ("3", "Bob", "B", "y@y", "0"),
+        ("4", None, "B", "y@y", "0"), ("5", "Eve", "E", None, ""), ("6", "Eve", "E", None, ""),
+    ]
+    df = spark.createDataFrame(people, "customer_id string, first_name string, last_name string, email string, phone string")
+    assert rows(match.block_sizes(df)) == [("email", "x@x", 2, 1), ("phone", "", 2, 1), ("phone", "0", 3, 2)]
+    assert rows(match.block_sizes(df, 3)) == [("phone", "0", 3, 2)]
+    assert rows(match.block_sizes(df.limit(0))) == []
