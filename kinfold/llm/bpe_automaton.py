@@ -33,8 +33,8 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from kinfold.llm.common import map_texts
 
-#: Words and arcs remembered by a worker; beyond this many it starts anew.
-REMEMBERED = 200_000
+#: Words and arcs remembered by a worker; beyond this many it starts anew. Longer words are spelled each time.
+REMEMBERED, LONG_WORD = 200_000, 100
 #: Unicode's White_Space, as the file's ``\s`` means it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NEVER = 1 << 60
@@ -123,12 +123,13 @@ class WordEncoder:
                 node = node.setdefault(symbol, {})
             node[""] = i
         self.longest_end = max(map(len, self.end), default=0)
+        self.longest = max(map(len, automaton.ids), default=0)
 
     def _arcs(self, word: str, at: int) -> list[tuple[int, int]]:
         """The tokens that can be read at ``at`` and where they end, shortest first."""
         found = []
         node = self.middle
-        for stop, symbol in enumerate(word[at:-1], at + 1):
+        for stop, symbol in enumerate(word[at : min(at + self.longest, len(word) - 1)], at + 1):
             node = node.get(symbol)
             if node is None:
                 break
@@ -214,9 +215,10 @@ class TextEncoder:
         if not (word.isascii() and word.isprintable()) or " " in word:
             spelled = "".join(map(self.symbols.__getitem__, word.encode()))
         ids = np.array(self.words.encode(spelled), "<u4").tobytes()
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = ids
+        if len(word) <= LONG_WORD:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = ids
         return ids
 
     def _part(self, text: str) -> bytes:

@@ -2,8 +2,8 @@
 
 A rule is a host and the beginning of a path; it fits its host and all subdomains, and the longest
 fitting rule decides. The index keeps the XXH64 digests of all rules in a sorted, memory-mapped
-array. A URL is probed with every suffix of its host at a dot, each with the beginnings of its path
-that have the length of some rule path, all probes of a batch in one binary search; the stored rule
+array. A URL is probed with every suffix of its host at a dot that is no longer than the longest host of a rule, each with the
+beginnings of its path that have the length of some rule path, all probes of a batch in one binary search; the stored rule
 text decides whether a digest that was met is a true match.
 
 The index is one file, sent to the workers with ``SparkContext.addFile``. It holds ``MAX_RULES``
@@ -50,10 +50,13 @@ def digests(keys: Sequence[str]) -> np.ndarray:
 
 
 class DigestIndex:
-    """Sorted digests beside the rules they stand for; arrays may be memory-mapped."""
+    """Sorted digests beside the rules they stand for; arrays may be memory-mapped. ``lengths`` are those of rule paths,
+    ``longest`` that of the longest rule host."""
 
-    def __init__(self, keys: np.ndarray, order: np.ndarray, ends: np.ndarray, texts: np.ndarray, lengths: list[int]):
-        self.keys, self.order, self.ends, self.texts, self.lengths = keys, order, ends, texts, lengths
+    def __init__(
+        self, keys: np.ndarray, order: np.ndarray, ends: np.ndarray, texts: np.ndarray, lengths: list[int], longest: int
+    ):
+        self.keys, self.order, self.ends, self.texts, self.lengths, self.longest = keys, order, ends, texts, lengths, longest
 
     @classmethod
     def build(cls, rules: Sequence[Rule]) -> DigestIndex:
@@ -65,11 +68,12 @@ class DigestIndex:
         order = np.argsort(keys, kind="stable")
         ends = np.cumsum([len(s) for s in stored], dtype=np.int64)
         texts = np.frombuffer(b"".join(stored), np.uint8)
-        return cls(keys[order], order.astype(np.int64), ends, texts, sorted({len(r.path) for r in latest}))
+        longest = max((len(r.host) for r in latest), default=0)
+        return cls(keys[order], order.astype(np.int64), ends, texts, sorted({len(r.path) for r in latest}), longest)
 
     def to_bytes(self) -> bytes:
         """All arrays one after the other, behind a line with their sizes."""
-        arrays = [self.keys, self.order, self.ends, np.array(self.lengths, np.int64), self.texts]
+        arrays = [self.keys, self.order, self.ends, np.array([self.longest, *self.lengths], np.int64), self.texts]
         head = " ".join(str(a.size) for a in arrays).encode().ljust(128)
         return head + b"".join(a.tobytes() for a in arrays)
 
@@ -83,7 +87,18 @@ class DigestIndex:
             end = at + n * np.dtype(kind).itemsize
             arrays.append(mapped[at:end].view(kind))
             at = end
-        return cls(arrays[0], arrays[1], arrays[2], arrays[4], arrays[3].tolist())
+        longest, *lengths = arrays[3].tolist()
+        return cls(arrays[0], arrays[1], arrays[2], arrays[4], lengths, longest)
+
+    def _suffixes(self, host: str) -> list[str]:
+        """The host and what is behind its dots, longest first, as far as a rule can have it."""
+        first = len(host) - self.longest
+        found = [host] if first <= 0 else []
+        dot = host.find(".", max(first - 1, 0))
+        while dot >= 0:
+            found.append(host[dot + 1 :])
+            dot = host.find(".", dot + 1)
+        return found
 
     def _stored(self, i: int) -> tuple[str, str]:
         k = int(self.order[i])
@@ -96,9 +111,7 @@ class DigestIndex:
         probes, owners = [], []
         for u, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             starts = [path[:n] for n in self.lengths if n <= len(path)]
-            labels = host.split(".")
-            for d in range(len(labels)):
-                suffix = ".".join(labels[d:])
+            for suffix in self._suffixes(host):
                 for s in starts:
                     probes.append(suffix + s)
                     owners.append(u)

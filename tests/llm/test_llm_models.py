@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kinfold.llm import bloom_lm, bpe_automaton, language_gru, repeats, secret_cnn, simhash, toxic_crf, url_digest
+from kinfold.llm import bloom_lm, bpe_automaton, catalogue, language_gru, repeats, secret_cnn, simhash, toxic_crf, url_digest
 from kinfold.llm.run_index import RunIndex
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -324,3 +324,22 @@ def test_rules_survive_a_file_and_collisions(tmp_path, monkeypatch):
     monkeypatch.setattr(url_digest, "MAX_RULES", 3)
     with pytest.raises(ValueError):
         url_digest.DigestIndex.build(rules)
+
+
+def test_very_long_hosts_and_words():
+    """So long that work at each place over all that follows would take minutes."""
+    rules = [url_digest.Rule("com", "/", "allow"), url_digest.Rule("example.com", "/en/", "block")]
+    index = url_digest.DigestIndex.build(rules)
+    hosts = ["a." * 200_000 + "example.com", "a." * 200_000 + "xcom", "com", ".com", "", "example.com."]
+    block, allow = ("example.com/en/", "block"), ("com/", "allow")
+    assert index.look_up(hosts, ["/en/x"] * 6) == [block, None, allow, allow, None, None]
+    tall = ["com", "a.com", "b.a.com", "aa.com", "x.aa.com"]
+    few = url_digest.DigestIndex.build([url_digest.Rule("a.com", "", "block"), url_digest.Rule("aa.com", "", "allow")])
+    assert [h and h[0] for h in few.look_up(tall, [""] * 5)] == [None, "a.com", "a.com", "aa.com", "aa.com"]
+
+    encoder = bpe_automaton.TextEncoder(catalogue.tokenizer_path())
+    rng = np.random.default_rng(3)
+    word = "".join(rng.choice(list("etaoinshrdlu"), 200_000))
+    library = tokenizers.Tokenizer.from_file(catalogue.tokenizer_path())
+    assert np.frombuffer(encoder.encode(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
+    assert not encoder.known
