@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import MAX_EDITS, full_name, near, own_pieces, possible_pieces, with_deletions
 from kinfold.operators.closure import connected_components
-from kinfold.operators.skew import HOT_ROWS, large, lookup_join
+from kinfold.operators.skew import HOT_ROWS, large, lookup_join, spread
 from kinfold.sources.scratch import cut_lineage
 
 _BLOCK = ["kind", "block"]
@@ -62,12 +62,6 @@ def _names(entries: DataFrame) -> DataFrame:
     )
 
 
-def _spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Into the full number of shuffle partitions: taking names apart costs far more than moving them, so adaptive
-    execution, which goes by bytes, would leave this work to too few tasks."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
-
-
 def _meet(a: DataFrame, b: DataFrame, keys: list[str], some: bool) -> DataFrame:
     """Numbers ``(a, b)`` of different names of a block that share a key, ``a`` with the shorter or, of equally long ones, the one
     with the lesser number.
@@ -120,7 +114,7 @@ def _met(names: DataFrame, min_rows: int, some: bool = False) -> DataFrame:
     small, crowded, length = F.col("n_names") <= FEW, F.col("n_names") > FEW, F.length("name")
     n = rest.agg(F.count_if(crowded).alias("large"), F.count_if(crowded & (length > SHORT)).alias("long")).first()
     ways = [_meet(rest.where(small), rest.where(small), [], some)]
-    big = _spread(rest.where(crowded), *_BLOCK, "name")
+    big = spread(rest.where(crowded), *_BLOCK, "name")
     if n.large:
         shorter = with_deletions(big.where(length <= SHORT), "name", every=True)
         longer = with_deletions(big.where(length <= SHORT + MAX_EDITS), "name", every=False)

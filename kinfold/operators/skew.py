@@ -24,6 +24,12 @@ def large(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Into the full number of shuffle partitions: where a row costs far more work than moving it, neither the row groups of a
+    file nor adaptive execution, which goes by bytes, should leave this work to too few tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """Every key with at least ``min_rows`` rows: at most one in so many rows of ``df``."""
     return (

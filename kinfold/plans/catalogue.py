@@ -141,9 +141,14 @@ def _ntz(df: DataFrame, column: str = "event_time") -> DataFrame:
 # --- change events -------------------------------------------------------------------------
 
 
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, spread over the tasks before they become JSON; a file's row groups alone may be few."""
+    return skew.spread(roles.events(spark, sf_dir), "event_id")
+
+
 @query(_with(_EVENTS, select="select event_id, event_time, op_type, user_id, value, props from changes"))
 def cdc_envelope_roundtrip(spark, sf_dir):
-    return _ntz(parse_cdc(to_cdc(roles.events(spark, sf_dir)), roles.EVENT))
+    return _ntz(parse_cdc(to_cdc(_changes(spark, sf_dir)), roles.EVENT))
 
 
 @query(
@@ -152,7 +157,7 @@ def cdc_envelope_roundtrip(spark, sf_dir):
 )
 def cdc_object_payload(spark, sf_dir):
     """A payload given as a JSON object instead of a text decodes to the same fields."""
-    e = roles.events(spark, sf_dir)
+    e = _changes(spark, sf_dir)
     inner = F.from_json("props", "k bigint")
     raw = e.select(F.to_json(F.struct("event_id", "op_type", inner.alias("payload"))).alias("value"))
     return parse_cdc(raw, struct_of("k bigint")).select(
@@ -162,7 +167,7 @@ def cdc_object_payload(spark, sf_dir):
 
 def _with_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change events, where the lines of errors have lost the end of their JSON."""
-    e = roles.events(spark, sf_dir)
+    e = _changes(spark, sf_dir)
     return e.select("op_type", *to_cdc_columns(e)).select(
         F.when(F.col("op_type") == "DELETE", F.rtrim(F.lit("}"), "value"))
         .otherwise(F.col("value")).alias("value")
@@ -204,7 +209,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     ident = F.col("event_id").cast("string")
     op = roles._mapped(F.col("event_type"), roles.OPERATIONS, "UPDATE")
-    return to_cdc(rows, ["user_id", "value", "props"], ident, "ts", op)
+    return to_cdc(skew.spread(rows, "event_id"), ["user_id", "value", "props"], ident, "ts", op)
 
 
 @query(_with(_EVENTS, select="select event_id, event_time, op_type, user_id, value, props from changes"))
@@ -243,7 +248,7 @@ def stream_late_rows(spark, sf_dir):
     Spark drops late rows by the bound that the batch before last has set, so the inserts all
     pass, and the deletes that are more than ten days behind the newest update are late.
     """
-    e = roles.events(spark, sf_dir)
+    e = _changes(spark, sf_dir)
     lines = scratch_path(spark, "lines")
     for op in ("UPDATE", "INSERT", "DELETE"):
         to_cdc(e.where(F.col("op_type") == op)).repartition(4).write.mode("append").text(lines)
@@ -294,7 +299,7 @@ kept as (select *, row_number() over (partition by event_id order by batch) as n
 
 
 def _delivered(spark: SparkSession, sf_dir: str) -> Landing:
-    e = roles.events(spark, sf_dir)
+    e = _changes(spark, sf_dir)
     lines, offsets, to = scratch_path(spark, "lines"), scratch_path(spark, "offsets"), _landing(spark)
     number, update = F.col("event_id").cast("bigint"), F.col("op_type") == "UPDATE"
     parts = [update, (F.col("op_type") == "INSERT") | (update & (number % 3 == 0)), (F.col("op_type") == "DELETE") | (number % 5 == 0)]

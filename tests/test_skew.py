@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinfold.operators.skew import hot_keys, lookup_join, salted_join, two_stage_agg
+from kinfold.plans import catalogue
 
 
 def customers_and_accounts(spark, keys, hot=1000):
@@ -96,3 +97,9 @@ def test_two_stage_agg_reads_once(spark):
     df = spark.range(10).selectExpr("id % 2 as k", "id as v")
     out = two_stage_agg(df, ["k"], {"s": F.col("v")}, {"n": F.col("v")}, {"a": F.col("v"), "b": F.col("v") % 2})
     assert plan(out).count("Range (0, 10") == 1
+
+
+def test_events_are_spread_before_they_become_json(spark):
+    """One row group would be one task, however many rows it has."""
+    out = catalogue.QUERIES["cdc_envelope_roundtrip"](spark, "/root/testdata/sf0.001")
+    assert out.select(F.spark_partition_id()).distinct().count() == 4
