@@ -325,7 +325,7 @@ join (select batch, count(*) filter (nth = 1) as staged from kept group by 1) us
 )
 def ingest_accounted(spark, sf_dir):
     """Every line of three deliveries is staged, repeated, late or malformed."""
-    return batch_log(spark, _delivered(spark, sf_dir)).select("batch", "lines", "staged", "repeated", "late", "malformed")
+    return batch_log(spark, _delivered(spark, sf_dir)).select(F.col("batch").cast("int"), "lines", "staged", "repeated", "late", "malformed")
 
 
 @query(
