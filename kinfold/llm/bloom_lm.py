@@ -226,29 +226,74 @@ def _segment_row(segment: int, keys: np.ndarray, counts: np.ndarray) -> pa.Table
     })
 
 
-def _added_up(keys: np.ndarray, counts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        keys, number = np.unique(keys, return_counts=True)
-        return keys, number
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+def _together(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts in one array; each is let go when it is copied, and the list is empty then."""
+    out = np.empty(sum(map(len, parts)), np.uint64)
+    at = len(out)
+    while parts:
+        part = parts.pop()
+        at -= len(part)
+        out[at : at + len(part)] = part
+    return out
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and where each begins in ``keys``, which is sorted in place."""
+    keys.sort()
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    return keys[first], first
 
 
 def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs and their counts, about ``TOGETHER`` tokens at a time."""
-    found, size = [], 0
+
+    def counted() -> tuple[np.ndarray, np.ndarray]:
+        pairs = _together(found)
+        keys, first = _distinct(pairs)
+        return keys, np.diff(first, append=len(pairs)).astype(np.uint32)
+
+    found: list[np.ndarray] = []
+    size = 0
     for batch in batches:
         for _, texts in portions(batch.column(0), PORTION):
             tokens = Tokens(texts)
             found.append(tokens.pairs(tokens.hashes()))
             size += len(found[-1])
             if size >= TOGETHER:
-                yield _added_up(np.concatenate(found), None)
-                found, size = [], 0
+                yield counted()
+                size = 0
     if found:
-        yield _added_up(np.concatenate(found), None)
+        yield counted()
+
+
+def pair_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """``(segment, keys, counts)`` of the pairs of some texts: a row has all keys of a segment, each once."""
+    for keys, number in _counted_pairs(batches):
+        segment = (keys % _U(n)).astype(np.int32)
+        order = np.argsort(segment, kind="stable")
+        keys, number, segment = keys[order], number[order], segment[order]
+        del order
+        held, start = np.unique(segment, return_index=True)
+        cuts = np.append(start, len(keys))
+        packed = pa.array([_packed(number[x:y]) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.binary())
+        # The keys stay where they are; a row is a part of them.
+        ends = [None, pa.py_buffer((cuts * 8).astype(np.int32)), pa.py_buffer(keys)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held), pa.Array.from_buffers(pa.binary(), len(held), ends), packed], names=["segment", "keys", "counts"]
+        )
+        del keys, number, segment, packed, ends
+
+
+def pair_segment(group: pa.Table) -> pa.Table:
+    """One segment of the rows of ``pair_rows``. Counts are added up row by row, to the distinct keys of all."""
+    parts = [np.frombuffer(k.as_buffer(), np.uint64) for k in group["keys"]]
+    keys = _distinct(_together(list(parts)))[0]
+    counts = np.zeros(len(keys), np.int64)
+    for part, packed in zip(parts, group["counts"], strict=True):
+        counts[np.searchsorted(keys, part)] += _unpacked(packed.as_buffer())
+    return _segment_row(group["segment"][0].as_py(), keys, counts)
 
 
 def pair_segments(train: DataFrame, n: int) -> DataFrame:
@@ -256,28 +301,11 @@ def pair_segments(train: DataFrame, n: int) -> DataFrame:
     with all keys and counts, so few rows are shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, number in _counted_pairs(batches):
-            segment = (keys % _U(n)).astype(np.int32)
-            order = np.argsort(segment, kind="stable")
-            keys, number, segment = keys[order], number[order].astype(np.uint32), segment[order]
-            held, start = np.unique(segment, return_index=True)
-            cuts = list(zip(start.tolist(), [*start[1:].tolist(), len(keys)], strict=False))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(held), pa.array([keys[x:y].tobytes() for x, y in cuts], pa.binary()),
-                    pa.array([_packed(number[x:y]) for x, y in cuts], pa.binary()),
-                ],
-                names=["segment", "keys", "counts"],
-            )
-
-    def build(group: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(group["keys"].to_pylist()), np.uint64)
-        counts = np.concatenate([_unpacked(c) for c in group["counts"].to_pylist()]).astype(np.int64)
-        return _segment_row(group["segment"][0].as_py(), *_added_up(keys, counts))
+        return pair_rows(batches, n)
 
     return (
         train.select("text").mapInArrow(count, "segment int, keys binary, counts binary")
-        .groupBy("segment").applyInArrow(build, "segment int, bits binary")
+        .groupBy("segment").applyInArrow(pair_segment, "segment int, bits binary")
     )
 
 
@@ -287,10 +315,9 @@ def _packed(counts: np.ndarray) -> bytes:
     return (b"\1" + counts.astype(np.uint8).tobytes()) if small else (b"\4" + counts.tobytes())
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8 if data[0] == 1 else np.uint32, offset=1) if data[0] == 1 else (
-        np.frombuffer(data[1:], np.uint32)
-    )
+def _unpacked(data: bytes | pa.Buffer) -> np.ndarray:
+    small = data[0] in (1, b"\1")
+    return np.frombuffer(data, np.uint8, offset=1) if small else np.frombuffer(memoryview(data)[1:], np.uint32)
 
 
 def _groups(segments: DataFrame, most: int) -> list[list[int]]:

@@ -5,6 +5,7 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -343,3 +344,23 @@ def test_very_long_hosts_and_words():
     library = tokenizers.Tokenizer.from_file(catalogue.tokenizer_path())
     assert np.frombuffer(encoder.encode(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
     assert not encoder.known
+
+
+def test_pairs_of_a_segment_are_added_up_in_little_memory():
+    """Beside its rows a segment takes a few times their size, though each key stands in every row."""
+    import tracemalloc
+
+    keys = bloom_lm._mix(np.arange(500_000, dtype=np.uint64))
+    keys.sort()
+    rows = [(keys.tobytes(), bloom_lm._packed(np.full(len(keys), k, np.uint32))) for k in (1, 2, 300, 1, 1, 1, 1, 1)]
+    group = pa.table({
+        "segment": pa.array([4] * 8, pa.int32()), "keys": pa.array([k for k, _ in rows], pa.binary()),
+        "counts": pa.array([c for _, c in rows], pa.binary()),
+    })
+    wanted = bloom_lm.make_segment(keys, np.full(len(keys), 308))
+    tracemalloc.start()
+    made = bloom_lm.pair_segment(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made["segment"].to_pylist() == [4] and made["bits"][0].as_py() == wanted
+    assert peak < 3.2 * group.nbytes, peak / group.nbytes
