@@ -8,13 +8,16 @@ weighed by a logistic unit. A long candidate is read in windows, the surest of w
 
 It is trained on labelled findings: candidates that a pattern touches are secrets, the others are not. Others that
 follow a name like a secret's, of which the patterns know only a few, have no label, so that such a name does not speak against one.
-They are taken from ``DOCS`` documents (in order of a hash), at most ``EXAMPLES`` of each label. In half of the examples the
-surroundings are blanked, so that the characters of the secret itself are learned too. A fifth is kept apart: on
+All of all documents are used, each different one once. In half of the examples the
+surroundings are blanked, so that the characters of the secret itself are learned too. Up to about ``SHARE`` examples are learned
+by one task. More are dealt to as many tasks as that takes; each goes over its own once, from the same weights, and the weights
+and moments of all, weighted by their examples, are averaged before the next of ``EPOCHS`` rounds. A fifth is kept apart: on
 it the scores are calibrated (a logistic function of the logit), and the threshold is set as high as
-leaves ``RECALL`` of its secrets found. Candidates at or above it are added to the base findings.
+leaves ``RECALL`` of its secrets found. Candidates at or above it are added to the base findings. The driver only sees weights
+and sums.
 
 Defined results: a NULL or empty text has no findings; without examples of both labels nothing is added;
-a NULL id can be in the sample; equal rows each get a row; other columns are ignored.
+equal rows each get a row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import map_texts, portions
+from kinfold.llm.order import places
+from kinfold.sources.scratch import cut_lineage
 
 KINDS = ("assign", "access", "hex")
 LEARNED = "learned"
 SHORTEST = 12
-DOCS, EXAMPLES = 20_000, 3_000
+SHARE, EPOCHS = 5_000, 8
 RECALL = 0.98
 BEFORE, INSIDE, AFTER = 24, 48, 8
 EMBED, WIDTH, FILTERS = 8, 5, 24
@@ -95,6 +100,22 @@ class CharacterNetwork:
         self.o = rng.normal(0, 0.2, 2 * FILTERS).astype(np.float32)
         self.ob = np.zeros(1, np.float32)
         self.slope, self.shift, self.threshold = 1.0, 0.0, 1.0
+        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self._parameters()]
+        self.steps = 0
+
+    def _parameters(self) -> list[np.ndarray]:
+        return [self.e, self.k, self.kb, self.o, self.ob]
+
+    def state(self) -> np.ndarray:
+        """Weights, moments and the number of steps, in a row."""
+        return np.concatenate([p.ravel() for p in (*self._parameters(), *sum(self.moments, ()))] + [[self.steps]]).astype(float)
+
+    def load(self, state: np.ndarray) -> None:
+        at = 0
+        for p in (*self._parameters(), *sum(self.moments, ())):
+            p[...] = state[at : at + p.size].reshape(p.shape)
+            at += p.size
+        self.steps = round(state[at])
 
     def _forward(self, x: np.ndarray):
         embedded = self.e[x]
@@ -124,11 +145,11 @@ class CharacterNetwork:
             np.add.at(de, x[:, i : i + places].reshape(-1), dc[:, :, i * EMBED : (i + 1) * EMBED].reshape(-1, EMBED))
         return [de, dk, da.sum(axis=(0, 1)), d @ pooled, np.array([d.sum()], np.float32)]
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.01, seed: int = 4) -> None:
+    def train(
+        self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.01, seed: int | Sequence[int] = 4
+    ) -> None:
+        """Go on from the weights and moments there are."""
         rng = np.random.default_rng(seed)
-        parameters = [self.e, self.k, self.kb, self.o, self.ob]
-        moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
-        step = 0
         for _ in range(epochs):
             order = rng.permutation(len(x))
             for a in range(0, len(x), batch):
@@ -136,21 +157,33 @@ class CharacterNetwork:
                 rows = x[some]
                 blank = rng.random(len(rows)) < 0.5
                 rows[blank] = np.where(rows[blank] >= 128, rows[blank], 0)
-                step += 1
-                for p, g, (m, v) in zip(parameters, self._gradients(rows, y[some]), moments, strict=True):
+                self.steps += 1
+                for p, g, (m, v) in zip(self._parameters(), self._gradients(rows, y[some]), self.moments, strict=True):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
-                    p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+                    p -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.999**self.steps)) + 1e-8)
 
-    def calibrate(self, logit: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Fit slope and shift by Newton's method; set the threshold by the recall to be kept."""
+    def fit(self, sums: Callable[[np.ndarray], Sequence[float]]) -> None:
+        """Fit slope and shift by Newton's method. ``sums`` gives, for both, the sums over the examples of q x², q x, q, d x
+        and d, where x is the logit, p its probability, q = p (1 - p) and d = label - p."""
         w = np.array([1.0, 0.0])
-        x = np.stack([logit, np.ones(len(logit))], axis=1)
         for _ in range(25):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.1, 0.1])
-            w += np.linalg.solve(h, x.T @ (y - p) - 0.1 * (w - [1.0, 0.0]))
+            qxx, qx, q, dx, d = sums(w)
+            step = np.linalg.solve([[qxx + 0.1, qx], [qx, q + 0.1]], np.array([dx, d]) - 0.1 * (w - [1.0, 0.0]))
+            w += step
+            if np.abs(step).max() < 1e-9:
+                break
         self.slope, self.shift = float(w[0]), float(w[1])
+
+    def calibrate(self, logit: np.ndarray, y: np.ndarray, recall: float) -> None:
+        """Fit slope and shift; set the threshold by the recall to be kept."""
+
+        def sums(w: np.ndarray) -> list[float]:
+            p = 1 / (1 + np.exp(-np.clip(w[0] * logit + w[1], -30, 30)))
+            q, d = p * (1 - p), y - p
+            return [(q * logit**2).sum(), (q * logit).sum(), q.sum(), (d * logit).sum(), d.sum()]
+
+        self.fit(sums)
         secrets = np.sort(self._calibrated(logit[y == 1]))
         self.threshold = float(secrets[int((1 - recall) * len(secrets))])
 
@@ -177,48 +210,99 @@ def named(text: str, start: int, end: int) -> bool:
     return bool(_NAMED.search(text[max(0, start - BEFORE) : start]) or _NAMES.search(text, start, end))
 
 
-def examples(docs: DataFrame, id_column: str, n_docs: int = DOCS, n_each: int = EXAMPLES) -> DataFrame:
-    """``(codes, label)`` from a bounded number of documents, and of each label a bounded number."""
-    chosen = docs.select(F.xxhash64(F.col(id_column)).alias("_h")).orderBy("_h").limit(n_docs).agg(F.max("_h").alias("h"))
-    last = chosen.first().h
-    some = docs.where(F.xxhash64(F.col(id_column)) <= F.lit(last)) if last is not None else docs
+def examples(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``(codes, label)`` of all documents, each once; ids play no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, labels = [], []
-            for text in batch.column(0).to_pylist():
-                base = base_findings(text or "")
-                for a, b in candidates(text or ""):
-                    secret = _overlaps(base, a, b)
-                    if secret or not named(text, a, b):
-                        codes.append(windows(text, a, b)[0].astype(np.uint8).tobytes())
-                        labels.append(int(secret))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.binary()), pa.array(labels, pa.int32())], names=["codes", "label"]
-            )
-
-    found = some.select("text").mapInArrow(run, "codes binary, label int").distinct()
-    first = [found.where(F.col("label") == k).orderBy(F.xxhash64("codes"), "codes").limit(n_each) for k in (0, 1)]
-    return first[0].unionByName(first[1])
-
-
-def learn(docs: DataFrame, id_column: str = "doc_id", recall: float = RECALL, **limits: int) -> CharacterNetwork | None:
-    rows = examples(docs, id_column, **limits).collect()
-    y = np.array([r.label for r in rows])
-    if len(rows) < 20 or not 5 <= y.sum() <= len(rows) - 5:
+            for _, texts in portions(batch.column(0)):
+                codes, labels = [], []
+                for text in texts:
+                    base = base_findings(text or "")
+                    for a, b in candidates(text or ""):
+                        secret = _overlaps(base, a, b)
+                        if secret or not named(text, a, b):
+                            codes.append(windows(text, a, b)[0].astype(np.uint8).tobytes())
+                            labels.append(int(secret))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes, pa.binary()), pa.array(labels, pa.int32())], names=["codes", "label"]
+                )
+
+    return docs.select("text").mapInArrow(run, "codes binary, label int").distinct()
+
+
+def _read(codes: pa.Array) -> np.ndarray:
+    """The codes of some examples, one in a row."""
+    return np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(codes), -1).astype(np.int64)
+
+
+def learn(docs: DataFrame, recall: float = RECALL, share: int = SHARE) -> CharacterNetwork | None:
+    found = cut_lineage(examples(docs), "examples")
+    count = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
+    n, secrets = sum(count.values()), count.get(1, 0)
+    if n < 20 or not 5 <= secrets <= n - 5:
         return None
-    x = np.array([np.frombuffer(bytes(r.codes), np.uint8) for r in rows]).astype(np.int64)
-    order = np.random.default_rng(5).permutation(len(rows))
-    x, y = x[order], y[order]
-    apart = np.zeros(len(x), bool)
-    for label in (0, 1):
-        apart[np.flatnonzero(y == label)[::5]] = True
+    tasks = 1 + n // share
+    by_hash = F.xxhash64("codes", "label")
+    placed = places(found, [F.col("label"), by_hash, F.col("codes")], "examples", "place")
+    placed = placed.select("codes", "label", (F.col("place") % 5 == 0).alias("apart"), F.pmod(by_hash, F.lit(tasks)).alias("task"))
+    placed = cut_lineage(placed, "examples")
     network = CharacterNetwork()
-    network.train(x[~apart], y[~apart])
-    network.calibrate(network.logits(x[apart]), y[apart], recall)
+    rounds, epochs = (1, EPOCHS) if tasks == 1 else (EPOCHS, 1)
+    for k in range(rounds):
+        # Examples are small and learning is not, so adaptive execution, which goes by bytes, must not put the tasks together.
+        network.load(_round(placed.where("not apart").repartition(tasks, "task"), network.state(), epochs, k))
+    _calibrate(network, placed.where("apart"), recall)
     return network
 
 
+def _round(rows: DataFrame, state: np.ndarray, epochs: int, k: int) -> np.ndarray:
+    """The mean state after each task has gone over its examples, starting from ``state``.
+
+    States are added up as whole numbers, so the mean doesn't depend on the order in which tasks end.
+    """
+    scale = float(1 << 30)
+
+    def train(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("codes", "ascending"), ("label", "ascending")])
+        network = CharacterNetwork()
+        network.load(state)
+        y = group["label"].to_numpy()
+        network.train(_read(group["codes"]), y, epochs, seed=[4, k, group["task"][0].as_py()])
+        added = np.round(network.state() * scale * len(y)).astype(np.int64)
+        return pa.table({"at": pa.array(np.arange(len(added), dtype=np.int32)), "added": added, "n": np.full(len(added), len(y))})
+
+    per_task = rows.groupBy("task").applyInArrow(train, "at int, added bigint, n bigint")
+    mean = per_task.groupBy("at").agg((F.sum("added") / F.sum("n") / F.lit(scale)).alias("mean")).orderBy("at")
+    return np.array([r.mean for r in mean.select("mean").collect()])
+
+
+def _calibrate(network: CharacterNetwork, rows: DataFrame, recall: float) -> None:
+    """``network.calibrate`` on examples that stay where they are."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                logits = network.logits(_read(batch.column(0))).astype(float)
+                yield pa.RecordBatch.from_arrays([pa.array(logits), batch.column(1)], names=["logit", "label"])
+
+    scored = cut_lineage(rows.select("codes", "label").mapInArrow(score, "logit double, label int"), "logits")
+    x = F.col("logit")
+
+    def sums(w: np.ndarray) -> Sequence[float]:
+        z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(float(w[0])) * x + F.lit(float(w[1]))))
+        p = 1 / (1 + F.exp(-z))
+        q, d = p * (1 - p), F.col("label") - p
+        return list(scored.agg(*[F.sum(c) for c in (q * x * x, q * x, q, d * x, d)]).first())
+
+    network.fit(sums)
+    secrets = scored.where("label = 1").select("logit")
+    rank = int((1 - recall) * secrets.count())
+    order = F.col("logit").asc() if network.slope >= 0 else F.col("logit").desc()
+    least = places(secrets, [order], "logits", "place").where(F.col("place") == rank).first().logit
+    network.threshold = float(network._calibrated(np.array([least]))[0])
+
+
 class Scanner:
     """All findings of a list of texts; the candidates of all texts are scored together."""
 
@@ -253,7 +337,7 @@ def _joined(spans: Sequence[Span]) -> str:
 
 def scan(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``(id, n_assign, n_access, n_hex, base_sha256, spans)`` for every document."""
-    network = docs.sparkSession.sparkContext.broadcast(learn(docs, id_column))  # a few kilobytes
+    network = docs.sparkSession.sparkContext.broadcast(learn(docs))  # a few kilobytes
 
     def make() -> Callable:
         scanner = Scanner(network.value)
@@ -276,7 +360,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 def redact(docs: DataFrame, id_column: str = "doc_id", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by ``mark``; findings that overlap are replaced
     as one. A column ``n_chars`` is set to the new length."""
-    network = docs.sparkSession.sparkContext.broadcast(learn(docs, id_column))
+    network = docs.sparkSession.sparkContext.broadcast(learn(docs))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

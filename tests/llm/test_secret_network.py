@@ -54,3 +54,28 @@ def test_names_of_secrets():
         assert secret_cnn.named(text, *secret_cnn.candidates(text)[-1])
     text = "the passage at host12.example.com"
     assert not secret_cnn.named(text, *secret_cnn.candidates(text)[-1])
+
+
+def test_all_documents_give_examples_and_many_tasks_learn_them(spark):
+    rng = np.random.default_rng(3)
+    mails = [f"{PLAIN} user{i}@mail{i % 10}.example.com there" for i in range(3500)]
+    keys = [f"{PLAIN} the key GHJK7-{hexes(rng, 20)}-XYZ9Q there" for _ in range(3500)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(mails + keys)], "doc_id bigint, text string")
+    assert secret_cnn.examples(docs, "doc_id").count() == 7000
+    one, again = (secret_cnn.learn(docs, share=2000) for _ in range(2))
+    assert (one.state() == again.state()).all() and one.threshold == again.threshold
+    unseen = [f"{PLAIN} the key GHJK7-{hexes(rng, 20)}-XYZ9Q there" for _ in range(200)]
+    _, learned = secret_cnn.Scanner(one)(unseen + [f"{PLAIN} user{i}@mail{i % 10}.example.com there" for i in range(9000, 9200)])
+    assert sum(map(bool, learned[:200])) >= 190 and sum(map(bool, learned[200:])) <= 4
+
+
+def test_the_threshold_of_stored_examples_is_that_of_calibrate(spark):
+    rng = np.random.default_rng(4)
+    network = secret_cnn.CharacterNetwork()
+    x = rng.integers(32, 250, (300, secret_cnn.BEFORE + secret_cnn.INSIDE + secret_cnn.AFTER))
+    y = np.arange(300) % 3 // 2
+    rows = [(bytearray(r.astype(np.uint8).tobytes()), int(k)) for r, k in zip(x, y, strict=True)]
+    secret_cnn._calibrate(network, spark.createDataFrame(rows, "codes binary, label int").coalesce(1), 0.9)
+    got = network.slope, network.shift, network.threshold
+    network.calibrate(network.logits(x), y, 0.9)
+    assert np.allclose(got, (network.slope, network.shift, network.threshold), rtol=1e-6, atol=1e-6)
