@@ -1,12 +1,13 @@
 """No table that grows with the input goes through the driver, however much Spark may broadcast."""
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from kinfold.operators import consolidate, match, merge
 from kinfold.operators.closure import connected_components
 from kinfold.operators.skew import salted_join
+from kinfold.plans import roles
 from kinfold.sources.tables import read_table, replace_in_table, write_table
 
 
@@ -78,3 +79,10 @@ def test_joins_of_keys_broadcast_nothing(spark, no_broadcast, folder):
     assert read_table(spark, path, "id").count() == 195
     line = spark.range(30).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r[0] for r in rows(connected_components(line).select("component"))} == {0}
+
+
+def test_nations_are_broadcast_and_not_customers(spark):
+    """The join of nations and regions is thought to be larger than the customers."""
+    c = roles.customers(spark, "/root/testdata/sf0.01")
+    assert "BuildLeft" not in plan(c) and plan(c).count("BuildRight") == 2
+    assert c.count() == 1500
