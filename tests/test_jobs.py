@@ -1,7 +1,7 @@
 import json
 import os
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import rows
@@ -16,6 +16,7 @@ from kinfold.operators.segment import assign_segment, customers_by, kpis, summar
 from kinfold.plans import jobs
 from kinfold.schemas import METRIC_COLUMNS, PROFILE_COLUMNS
 from kinfold.sources import scratch
+from kinfold.sources.tables import replace_in_table, write_table
 from kinfold.streaming import read_lines
 
 START = datetime(2026, 1, 1)
@@ -316,3 +317,32 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(ValueError):
         scratch.shared_folder(Session())
+
+
+def jobs_of(spark, group, f):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        f()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_watermark_takes_few_jobs(spark, folder):
+    """There are some 25 of them in a run of all jobs, and each plan leaves something in the driver."""
+    for run in (1, 2):
+        assert jobs_of(spark, f"{folder}-w{run}", lambda: jobs.update_watermark(spark, folder, "a", datetime(2024, 1, run), run)) == 1
+    assert jobs_of(spark, f"{folder}-r", lambda: jobs.read_watermark(spark, folder, "a")) == 2  # of which one reads columns
+    assert jobs.read_watermark(spark, folder, "a") == (datetime(2024, 1, 2, tzinfo=timezone.utc), 2)
+
+
+def test_written_rows_are_counted_together(spark, folder):
+    """One query for all tables; rows that are not live do not count, nor do those of other runs."""
+    s = jobs.Settings(folder)
+    for name, n in (("x", 3), ("y", 5)):
+        df = spark.range(n).withColumnRenamed("id", "k")
+        write_table(df, s.table(name), "k", 1)
+        replace_in_table(df.where("k > 0"), df.where("k < 3"), s.table(name), "k", 2)
+    counted = []
+    assert jobs_of(spark, f"{folder}-c", lambda: counted.append(jobs._written(spark, s, ["x", "y"], 2))) <= 2
+    assert counted == [{"x": 2, "y": 4}]
