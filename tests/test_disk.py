@@ -1,10 +1,14 @@
 """What jobs leave on the disks while they run."""
 
 import glob
+import os
 
+import pytest
+from conftest import rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.operators import consolidate
 from kinfold.plans import catalogue
 from kinfold.schemas import struct_of
 from kinfold.sources.scratch import cut_lineage
@@ -60,3 +64,57 @@ def test_change_events_are_stored_compressed(spark, folder):
     catalogue._write_lines(lines, f"{folder}/lines")
     assert glob.glob(f"{folder}/lines/*.gz") and not glob.glob(f"{folder}/lines/*.txt")
     assert spark.read.text(f"{folder}/lines").count() == 1000
+
+
+def people(spark, n):
+    c = spark.range(n).select(F.concat(F.lit("C"), "id").alias("customer_id"))
+    return c.select(
+        "customer_id", F.col("customer_id").alias("golden_customer_id"),
+        *[F.lit("x").alias(k) for k in ("first_name", "last_name", "email", "phone", "address", "city", "state", "country")],
+    )
+
+
+def sides(spark, customers, each):
+    owner = F.concat(F.lit("C"), (F.col("id") % customers).cast("string")).alias("customer_id")
+    ids = spark.range(customers * each)
+    number = F.md5(F.col("id").cast("string"))
+    a = ids.select(owner, number.alias("account_id"), F.lit("t").alias("account_type"), F.rand(1).alias("balance"), F.lit("s").alias("status"))
+    l = ids.select(
+        owner, number.alias("loan_id"), F.lit("t").alias("loan_type"), F.rand(2).alias("loan_amount"), F.lit(1.0).alias("emi_amount"),
+        F.lit("s").alias("loan_status"),
+    )
+    return a, l
+
+
+def shuffled(spark, df):
+    """Bytes that a DataFrame writes to shuffle files."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = shuffle_files(spark)
+    df.write.format("noop").mode("overwrite").save()
+    files = blocks.getAllFiles()
+    paths = [files.apply(i).getPath() for i in range(files.size())]
+    return sum(os.path.getsize(p) for p in paths if p.endswith(".data") and os.path.basename(p) in shuffle_files(spark) - before)
+
+
+def test_hot_customers_are_not_repeated_for_every_task(spark):
+    """Customers with 40 accounts and 40 loans, all hot: 8 tasks for each side took ten times the room."""
+    c, (a, l) = people(spark, 200), sides(spark, 200, 40)
+    once = sum(shuffled(spark, df.repartition(4, "customer_id")) for df in (c, a, l))
+    flat = consolidate.resolved_rows(c, a, l, min_rows=4)
+    assert shuffled(spark, flat) < 3 * once
+    assert flat.count() == 200 * 40 * 40
+
+
+@pytest.mark.parametrize("n_salts,min_rows", [(1, 1), (3, 2), (8, 10**6)])
+def test_chunks_make_the_plain_join(spark, monkeypatch, n_salts, min_rows):
+    """Several chunks on both sides, equal rows, one side or both missing, and rows that belong to nobody."""
+    monkeypatch.setattr(consolidate, "CHUNK", 3)
+    c = people(spark, 5)
+    a, l = sides(spark, 3, 7)
+    a = a.unionByName(a.where("customer_id = 'C1'")).where("customer_id <> 'C2'")
+    a = a.unionByName(a.limit(1).withColumn("customer_id", F.lit(None).cast("string")))
+    l = l.withColumn("customer_id", F.expr("case customer_id when 'C0' then 'C4' when 'C2' then 'gone' else customer_id end"))
+    c = c.unionByName(c.limit(1).withColumn("customer_id", F.lit(None).cast("string")))
+    got = consolidate.resolved_rows(c, a, l, n_salts=n_salts, min_rows=min_rows).drop("resolved_at")
+    want = c.join(a.withColumnRenamed("status", "account_status"), "customer_id", "left").join(l, "customer_id", "left")
+    assert rows(got) == rows(want.select(*got.columns))
