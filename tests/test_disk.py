@@ -4,7 +4,7 @@ import glob
 import os
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,3 +118,14 @@ def test_chunks_make_the_plain_join(spark, monkeypatch, n_salts, min_rows):
     got = consolidate.resolved_rows(c, a, l, n_salts=n_salts, min_rows=min_rows).drop("resolved_at")
     want = c.join(a.withColumnRenamed("status", "account_status"), "customer_id", "left").join(l, "customer_id", "left")
     assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_flat_rows_are_reduced_before_they_are_sorted(spark):
+    flat = consolidate.resolved_rows(people(spark, 2), *sides(spark, 2, 3))
+    stored = cut_lineage(flat, "flat")
+    steps = plan(consolidate.profile_from_resolved(stored)).splitlines()
+    scans = [i for i, step in enumerate(steps) if "Scan parquet" in step]
+    assert len(scans) == 3
+    for i in scans:  # what stands above the scan reads its rows
+        above = [step for step in reversed(steps[:i]) if any(k in step for k in ("HashAggregate", "Sort"))]
+        assert "HashAggregate" in above[0]
