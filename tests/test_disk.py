@@ -8,7 +8,7 @@ from conftest import plan, rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators import consolidate
+from kinfold.operators import consolidate, match
 from kinfold.plans import catalogue
 from kinfold.schemas import struct_of
 from kinfold.sources.scratch import cut_lineage
@@ -129,3 +129,28 @@ def test_flat_rows_are_reduced_before_they_are_sorted(spark):
     for i in scans:  # what stands above the scan reads its rows
         above = [step for step in reversed(steps[:i]) if any(k in step for k in ("HashAggregate", "Sort"))]
         assert "HashAggregate" in above[0]
+
+
+def namesakes(spark, n=300):
+    """Names of two large blocks, and emails that few share."""
+    i = F.col("id").cast("string")
+    return spark.range(n).select(
+        F.concat(F.lit("C"), F.lpad(i, 5, "0")).alias("customer_id"), F.lit("Ann").alias("first_name"),
+        F.concat(F.lit("Lee"), F.substring(F.md5((F.col("id") % 200).cast("string")), 1, 4)).alias("last_name"),
+        F.concat(F.lit("e"), (F.col("id") % 40).cast("string")).alias("email"), (F.col("id") % 2).cast("string").alias("phone"),
+    )
+
+
+@pytest.mark.parametrize("find", [
+    match.match_pairs, match.one_hop, match.transitive,
+    lambda c: match.one_hop(c.withColumn("fresh", F.col("phone") == "1"), fresh="fresh"),
+])
+def test_names_meet_in_portions_of_their_blocks(spark, monkeypatch, find):
+    stored = []
+    monkeypatch.setattr(match, "cut_lineage", lambda df, name: stored.append(name) or cut_lineage(df, name))
+    c = namesakes(spark)
+    want = rows(find(c))
+    assert stored.count("near-names") == 1
+    monkeypatch.setattr(match, "PORTION_ROWS", 5000)
+    assert rows(find(c)) == want and want
+    assert stored.count("near-names") > 3
